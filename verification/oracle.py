@@ -328,6 +328,13 @@ def _cleaned() -> str:
     FROM raw"""
 
 
+def _quantile(p: float) -> str:
+    """Linear interpolation, spelled out: the built-in rounds its blend differently."""
+    low = f"max(v) FILTER (rk = floor({p} * top))"
+    high = f"max(v) FILTER (rk = ceil({p} * top))"
+    return f"{low} + ({high} - {low}) * max(CAST({p} AS DOUBLE) * top - floor({p} * top))"
+
+
 def oracle_sql() -> dict[str, str]:
     early = EARLY_AS_OF
     base_run = f"WITH {prep()},{tiered()},{start_new()}"
@@ -442,9 +449,11 @@ def oracle_sql() -> dict[str, str]:
               CAST(sum(cents) AS DOUBLE) / CAST(count(*) * 100 AS DOUBLE)
                 AS average_cumulative_arpu,
               CAST(sum(cents) AS DOUBLE) / 100.0 AS total_revenue, max(v) AS max_customer_value,
-              min(v) AS min_customer_value, quantile_cont(v, 0.5) AS median_cumulative_arpu,
-              quantile_cont(v, 0.9) AS top_10_percent_arpu
-            FROM per_account GROUP BY ALL""",
+              min(v) AS min_customer_value, {_quantile(0.5)} AS median_cumulative_arpu,
+              {_quantile(0.9)} AS top_10_percent_arpu
+            FROM (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY v) - 1 AS rk,
+                    count(*) OVER (PARTITION BY tier) - 1 AS top FROM per_account)
+            GROUP BY ALL""",
         "site_opens": f"WITH {prep()},{tiered()},{SITES},{SITE_METRICS} SELECT * FROM opens",
         "base_added": f"WITH {prep()},{tiered()},{SITES},{SITE_METRICS} SELECT * FROM bases",
         "take_rate": f"WITH {combined()} SELECT tier, month, base, cumulative_base, take_rate"

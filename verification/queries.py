@@ -229,8 +229,8 @@ QUERIES: dict[str, Query] = {
 }
 
 
-def queries() -> dict[str, Query]:
-    def shown(query: Query) -> Query:
+def shown(registered: dict[str, Query]) -> dict[str, Query]:
+    def wrap(query: Query) -> Query:
         return lambda spark, sf_dir: present(query(spark, sf_dir))
 
-    return {name: shown(query) for name, query in QUERIES.items()}
+    return {name: wrap(query) for name, query in registered.items()}

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from verification import oracle
+from verification import forecast_oracle, forecast_queries, oracle
 from verification import queries as core
 
 
 def queries():
-    return core.queries()
+    return core.shown({**core.QUERIES, **forecast_queries.QUERIES})
 
 
 def oracle_sql():
-    return oracle.oracle_sql()
+    return {**oracle.oracle_sql(), **forecast_oracle.oracle_sql()}

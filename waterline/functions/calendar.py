@@ -62,11 +62,11 @@ def label_index(label: Column) -> Column:
 
 def week_key(day: Column) -> Column:
     """The Sunday on or before the day."""
-    return F.date_format(F.date_sub(day, F.dayofweek(day) - 1), "yyyy-MM-dd")
+    return F.date_sub(day, F.dayofweek(day) - 1).cast("string")
 
 
 def month_key(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM")
+    return F.substring(day.cast("string"), 1, 7)
 
 
 def quarter_key(day: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,29 +14,38 @@ from waterline.functions.money import cents, dollars
 from waterline.operators.tiers import add_tiers
 
 
-def _price_moves(contracts: DataFrame, cfg: RunConfig, reason: str, name: str) -> DataFrame:
-    """Positive price moves between an account's successive changes of one kind, by month.
+# column -> reason, and whether prices move up
+MOVES = {"expansion": (UPGRADE, True), "contraction": (DOWNGRADE, False)}
+
 
-    The predecessor of a change is found within its day, and for a day's first change among the
-    last ones of earlier days. No window is longer than an account's number of distinct changes in
-    a day or of days with changes, however many rows one account has.
+def price_moves(
+    contracts: DataFrame, cfg: RunConfig, names: Sequence[str] = tuple(MOVES)
+) -> DataFrame:
+    """``(tier, month, <name>, <name>_count ...)`` of upgrades and downgrades, in one pass.
+
+    A move is the positive difference between an account's successive changes of one kind; accounts
+    without one still count. The predecessor of a change is found within its day, and for a day's
+    first change among the last ones of earlier days. So no window is longer than an account's
+    number of distinct changes in a day, or of days with changes, however many rows it has.
     """
-    up = reason == UPGRADE
+    reason = F.col("reason_group")
+    rises = reason.isin(*[r for r, up in MOVES.values() if up])
 
     def gain(price: Column, before: Column) -> Column:
-        delta = price - before if up else before - price
+        delta = F.when(rises, price - before).otherwise(before - price)
         return F.greatest(F.coalesce(delta, F.lit(0)), F.lit(0))
 
     changes = add_tiers(
         contracts.filter(
             (F.col("wo_type_group") == CHANGE_OF_SERVICE)
             & (F.col("test_flag") == 0)
-            & (F.col("reason_group") == reason)
+            & reason.isin(*[MOVES[n][0] for n in names])
         ),
         cfg.tiers,
     ).select(
         "tier",
         "account_number",
+        "reason_group",
         "start_date",
         "end_date",
         cents(F.col("price")).alias("cents"),
@@ -42,13 +53,15 @@ def _price_moves(contracts: DataFrame, cfg: RunConfig, reason: str, name: str) -
     )
     # Copies of a change do not move the price; they leave before the shuffle.
     distinct = changes.distinct()
-    day = Window.partitionBy("tier", "account_number", "start_date").orderBy(
+    account = ["tier", "account_number", "reason_group"]
+    day = Window.partitionBy(*account, "start_date").orderBy(
         F.col("end_date").asc_nulls_first(), "cents", "month_key"
     )
-    before, after = F.lag("cents").over(day), F.lead("cents").over(day)
     days = (
-        distinct.withColumns({"before": before, "after": after})
-        .groupBy("tier", "account_number", "start_date", "month_key")
+        distinct.withColumns(
+            {"before": F.lag("cents").over(day), "after": F.lead("cents").over(day)}
+        )
+        .groupBy(*account, "start_date", "month_key")
         .agg(
             F.sum(gain(F.col("cents"), F.col("before"))).alias("within"),
             F.max(F.when(F.col("before").isNull(), F.col("cents"))).alias("opens"),
@@ -57,29 +70,38 @@ def _price_moves(contracts: DataFrame, cfg: RunConfig, reason: str, name: str) -
         .withColumn("day", F.unix_date("start_date"))
     )
     earlier = (
-        Window.partitionBy("tier", "account_number")
+        Window.partitionBy(*account)
         .orderBy("day")
         .rangeBetween(Window.unboundedPreceding, -1)
     )
     moved = days.withColumn("previous", F.last("closes", ignorenulls=True).over(earlier)).withColumn(
         "move", F.col("within") + gain(F.col("opens"), F.col("previous"))
     )
-    per_account = moved.groupBy("tier", "account_number", "month_key").agg(
-        F.sum("move").alias("move")
-    )
+    per_account = moved.groupBy(*account, "month_key").agg(F.sum("move").alias("move"))
+
+    def of(name: str, value: Column) -> Column:
+        return F.when(reason == MOVES[name][0], value)
+
     return per_account.groupBy("tier", F.col("month_key").alias("month")).agg(
-        dollars(F.sum("move")).alias(name), F.count("*").alias(f"{name}_count")
+        *[
+            column
+            for name in names
+            for column in (
+                dollars(F.sum(of(name, F.col("move")))).alias(name),
+                F.count(of(name, F.lit(1))).alias(f"{name}_count"),
+            )
+        ]
     )
 
 
 def expansion_revenue(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
-    """``(tier, month, expansion, expansion_count)`` of upgrades; accounts without a rise count."""
-    return _price_moves(contracts, cfg, UPGRADE, "expansion")
+    """``(tier, month, expansion, expansion_count)`` of upgrades."""
+    return price_moves(contracts, cfg, ["expansion"])
 
 
 def contraction_revenue(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
     """``(tier, month, contraction, contraction_count)`` of downgrades."""
-    return _price_moves(contracts, cfg, DOWNGRADE, "contraction")
+    return price_moves(contracts, cfg, ["contraction"])
 
 
 def churn_revenue(contracts: DataFrame, cfg: RunConfig) -> DataFrame:

@@ -14,7 +14,7 @@ from waterline.config import SEGMENTS, RunConfig
 from waterline.functions.calendar import month_key
 from waterline.functions.money import ratio
 from waterline.functions.text import site_id
-from waterline.operators.tiers import add_tiers
+from waterline.operators.tiers import add_tiers, tiers_of
 
 
 def seen_sites(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -27,34 +27,45 @@ def seen_sites(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
     return add_tiers(per_segment, cfg.tiers).select("tier", "site").distinct()
 
 
-def _released(sites: DataFrame) -> DataFrame:
-    return sites.filter(F.col("site").isNotNull() & F.col("release_date").isNotNull()).select(
-        site_id(F.col("site")).alias("site"),
-        month_key(F.col("release_date")).alias("month"),
-        "cxn_code",
-        "base",
+def _released(sites: DataFrame, cfg: RunConfig) -> DataFrame:
+    """``(tier, site, month, base)``: base of the tier's segments by site and month of release.
+
+    Every site appears in every tier, if only with base 0: opening does not depend on segments.
+    """
+    member = F.array_contains(tiers_of(F.col("cxn_code"), cfg.tiers), F.col("tier"))
+    counted = member & F.col("cxn_code").isin(*SEGMENTS)
+    return (
+        sites.filter(F.col("site").isNotNull() & F.col("release_date").isNotNull())
+        .select(
+            site_id(F.col("site")).alias("site"),
+            month_key(F.col("release_date")).alias("month"),
+            "cxn_code",
+            "base",
+            F.explode(F.array(*[F.lit(t) for t in cfg.tier_names()])).alias("tier"),
+        )
+        .groupBy("tier", "site", "month")
+        .agg(F.sum(F.when(counted, F.col("base")).otherwise(0)).alias("base"))
+    )
+
+
+def site_metrics(contracts: DataFrame, sites: DataFrame, cfg: RunConfig) -> DataFrame:
+    """``(tier, month, site_opens, base)`` by month of release: distinct sites and their base."""
+    return (
+        _released(sites, cfg)
+        .join(seen_sites(contracts, cfg), ["tier", "site"], "left_semi")
+        .groupBy("tier", "month")
+        .agg(F.count("*").alias("site_opens"), F.sum("base").cast("bigint").alias("base"))
     )
 
 
 def site_opens(contracts: DataFrame, sites: DataFrame, cfg: RunConfig) -> DataFrame:
-    """``(tier, month, site_opens)``: distinct sites by month of release."""
-    releases = _released(sites).select("site", "month").distinct()
-    opened = seen_sites(contracts, cfg).join(releases, "site")
-    return opened.groupBy("tier", "month").agg(F.count("*").alias("site_opens"))
+    """``(tier, month, site_opens)``."""
+    return site_metrics(contracts, sites, cfg).drop("base")
 
 
 def base_added(contracts: DataFrame, sites: DataFrame, cfg: RunConfig) -> DataFrame:
-    """``(tier, month, base)``: base of the tier's segments on its sites by month of release."""
-    bases = (
-        add_tiers(_released(sites).filter(F.col("cxn_code").isin(*SEGMENTS)), cfg.tiers)
-        .groupBy("tier", "site", "month")
-        .agg(F.sum("base").alias("base"))
-    )
-    return (
-        bases.join(seen_sites(contracts, cfg), ["tier", "site"], "left_semi")
-        .groupBy("tier", "month")
-        .agg(F.sum("base").cast("bigint").alias("base"))
-    )
+    """``(tier, month, base)``."""
+    return site_metrics(contracts, sites, cfg).drop("site_opens")
 
 
 def add_take_rate(monthly: DataFrame) -> DataFrame:

@@ -33,13 +33,21 @@ def attach(
     be dealt evenly: by partition and content, which a retried task repeats exactly.
     """
     keys, values = list(keys), list(values)
+    known = F.lit(True)
+    for key in keys:
+        known &= F.col(key).isNotNull()
+    # Both sides of the table keep the same columns, so that it is computed once.
+    answer = F.struct(*values, weight)
+    table = table.filter(known)
     hot = (
         table.filter(F.col(weight) >= hot_rows)
         .orderBy(F.desc(weight), *keys)
         .limit(hot_keys)
-        .select(*keys, F.struct(*values).alias("_hot"))
+        .select(*keys, answer.alias("_hot"))
     )
-    cold = table.select(*keys, F.lit(0).alias("_slice"), F.struct(*values).alias("_cold"))
+    # A computed zero: as a literal it would be folded out of the join keys, and with it the spread.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    cold = table.select(*keys, zero.alias("_slice"), answer.alias("_cold"))
     deal = F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.lit(slices)) + 1
     spread = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_slice", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(deal.cast("int"))

@@ -14,6 +14,8 @@ Two physical forms give the same numbers:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,7 +30,7 @@ from waterline.functions.calendar import (
     open_as_null,
 )
 from waterline.functions.money import cents
-from waterline.operators.movements import churn_revenue, contraction_revenue, expansion_revenue
+from waterline.operators.movements import churn_revenue, price_moves
 from waterline.operators.tiers import add_tiers
 from waterline.schema import WATERFALL_COLUMNS
 
@@ -82,41 +84,73 @@ def calendar_spine(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
     return _spine_of(bounds).select("tier", month_label(F.col("month_idx")).alias("month"))
 
 
-def _running(spine: DataFrame, events: DataFrame, column: str) -> DataFrame:
-    """Running sum of ``events`` over each tier's months."""
-    order = Window.partitionBy("tier").orderBy("month_idx")
+def _account_events(starts: DataFrame, cfg: RunConfig) -> DataFrame:
+    """``(tier, month_idx, accounts, new_accounts)``: changes in the number of distinct accounts.
+
+    ``starts`` holds, per account, segment and month ``s`` of a start, the months ``lo..hi`` covered
+    by those contracts. In order of start each row adds only the months its account does not cover
+    yet; what remains is disjoint and can be counted by its ends. A window is as long as an account
+    has starting months.
+    """
+    account = Window.partitionBy("tier", "account_number").orderBy("s", "lo")
+    covered = F.max("hi").over(account.rowsBetween(Window.unboundedPreceding, -1))
+    rows = add_tiers(starts, cfg.tiers).select(
+        "tier",
+        "s",
+        F.greatest(F.col("lo"), covered + 1).alias("lo"),
+        "hi",
+        F.lag("s").over(account).alias("previous"),
+    )
+
+    def event(month, accounts, new_accounts):
+        return F.struct(
+            month.alias("month_idx"),
+            F.lit(accounts).alias("accounts"),
+            F.lit(new_accounts).alias("new_accounts"),
+        )
+
+    s, lo, hi = F.col("s"), F.col("lo"), F.col("hi")
+    first = F.when(
+        F.col("previous").isNull() | (F.col("previous") < s), F.array(event(s, 0, 1))
+    ).otherwise(F.array().cast("array<struct<month_idx:int,accounts:int,new_accounts:int>>"))
+    spell = F.when(lo <= hi, F.array(event(lo, 1, 0), event(hi + 1, -1, 0))).otherwise(
+        F.array().cast("array<struct<month_idx:int,accounts:int,new_accounts:int>>")
+    )
     return (
-        spine.select(*KEYS)
-        .join(events, KEYS, "left")
-        .select(*KEYS, F.sum(F.coalesce(column, F.lit(0))).over(order).alias(column))
+        rows.select("tier", F.inline(F.concat(first, spell)))
+        .groupBy(*KEYS)
+        .agg(F.sum("accounts").alias("accounts"), F.sum("new_accounts").alias("new_accounts"))
     )
 
 
-def _interval_events(intervals: DataFrame, cfg: RunConfig) -> DataFrame:
-    """``(tier, month_idx, accounts)``: changes in the number of distinct active accounts.
+def _fill_months(
+    events: DataFrame, running: Sequence[str], spot: Sequence[str]
+) -> DataFrame:
+    """Every month of a tier from its events: ``running`` columns add up, ``spot`` ones do not.
 
-    ``intervals`` holds inclusive month intervals ``[lo, hi]`` per account and segment, at most one
-    per starting month. In order of start, each interval adds only the months its account does not
-    cover yet, so what remains is disjoint and can be counted by its ends.
+    ``events`` has one row per tier and month with events, and the bounds ``first_idx`` and
+    ``last_idx``. An event's state lasts until the next one, so each row supplies the months up to
+    it; the calendar needs no join.
     """
-    account = Window.partitionBy("tier", "account_number").orderBy("lo")
-    covered = F.max("hi").over(account.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = (
-        add_tiers(intervals, cfg.tiers)
-        .withColumn("covered", covered)
-        .withColumn("lo", F.greatest("lo", F.col("covered") + 1))
-        .filter("lo <= hi")
-    )
-    ends = fresh.select(
+    tier = Window.partitionBy("tier")
+    order = tier.orderBy("month_idx")
+    last = F.max("last_idx").over(tier)
+    lasting = events.select(
+        *KEYS,
+        last.alias("last"),
+        F.lead("month_idx").over(order).alias("next"),
+        *[F.sum(F.coalesce(c, F.lit(0))).over(order).alias(c) for c in running],
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in spot],
+    ).filter("month_idx <= last")
+    until = F.least(F.coalesce(F.col("next") - 1, F.col("last")), F.col("last"))
+    filled = lasting.withColumn("m", F.explode(F.sequence(F.col("month_idx"), until)))
+    own = F.col("m") == F.col("month_idx")
+    return filled.select(
         "tier",
-        F.inline(
-            F.array(
-                F.struct(F.col("lo").alias("month_idx"), F.lit(1).alias("change")),
-                F.struct((F.col("hi") + 1).alias("month_idx"), F.lit(-1).alias("change")),
-            )
-        ),
+        F.col("m").alias("month_idx"),
+        *running,
+        *[F.when(own, F.col(c)).otherwise(0).alias(c) for c in spot],
     )
-    return ends.groupBy(*KEYS).agg(F.sum("change").alias("accounts"))
 
 
 def _start_new_difference(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -129,6 +163,7 @@ def _start_new_difference(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
         )
 
     c = F.col("cents")
+    started = event(F.col("s"), zero, zero, c * F.col("new_days"))
     lasting = F.col("first") <= F.col("e")
     events = terms.select(
         "cxn_code",
@@ -138,76 +173,44 @@ def _start_new_difference(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
             F.when(
                 lasting,
                 F.array(
-                    event(F.col("s"), zero, zero, c * F.col("new_days")),
+                    started,
                     event(F.col("first"), c, zero, zero),
                     event(F.col("e"), -c, c * F.col("end_days"), zero),
                 ),
-            ).otherwise(F.array(event(F.col("s"), zero, zero, c * F.col("new_days"))))
+            ).otherwise(F.array(started))
         ),
     )
     # Combined before the shuffle to segments x months rows; tiers multiply only those.
-    per_segment = events.groupBy("cxn_code", "month_idx").agg(
-        F.sum("step").alias("step"),
-        F.sum("part").alias("part"),
-        F.sum("new").alias("new"),
-        F.min("s").alias("first_idx"),
-        F.max("e").alias("last_idx"),
-    )
-    per_tier = (
-        add_tiers(per_segment, cfg.tiers)
-        .groupBy(*KEYS)
-        .agg(
+    amounts = add_tiers(
+        events.groupBy("cxn_code", "month_idx").agg(
             F.sum("step").alias("step"),
             F.sum("part").alias("part"),
             F.sum("new").alias("new"),
-            F.min("first_idx").alias("first_idx"),
-            F.max("last_idx").alias("last_idx"),
-        )
-    )
-    bounds = per_tier.groupBy("tier").agg(
-        F.min("first_idx").alias("first_idx"), F.max("last_idx").alias("last_idx")
-    )
-    spine = _spine_of(bounds)
-
-    # One row per account, segment and starting month answers both counts.
+            F.min("s").alias("first_idx"),
+            F.max("e").alias("last_idx"),
+        ),
+        cfg.tiers,
+    ).drop("cxn_code")
+    # One row per account, segment and starting month, however many contracts.
     starts = terms.groupBy("account_number", "cxn_code", "s").agg(
-        F.max(F.when(F.col("first") == F.col("s"), F.col("e"))).alias("hi_same"),
-        F.max(F.when(F.col("first") > F.col("s"), F.col("e"))).alias("hi_next"),
+        F.min("first").alias("lo"), F.max("e").alias("hi")
     )
-    intervals = starts.select(
-        "account_number",
-        "cxn_code",
-        F.inline(
-            F.array(
-                F.struct(F.col("s").alias("lo"), F.col("hi_same").alias("hi")),
-                F.struct((F.col("s") + 1).alias("lo"), F.col("hi_next").alias("hi")),
-            )
-        ),
-    ).filter("lo <= hi")
-    changes = _interval_events(intervals, cfg)
-    new_accounts = (
-        add_tiers(
-            starts.select("account_number", "cxn_code", F.col("s").alias("month_idx")), cfg.tiers
-        )
-        .groupBy(*KEYS, "account_number")
-        .agg(F.lit(1).alias("one"))
-        .groupBy(*KEYS)
-        .agg(F.count("*").alias("new_count"))
+    both = amounts.unionByName(_account_events(starts, cfg), allowMissingColumns=True)
+    columns = ["step", "part", "new", "accounts", "new_accounts"]
+    per_month = both.groupBy(*KEYS).agg(
+        *[F.sum(x).alias(x) for x in columns],
+        F.min("first_idx").alias("first_idx"),
+        F.max("last_idx").alias("last_idx"),
     )
-
-    order = Window.partitionBy("tier").orderBy("month_idx")
+    months = _fill_months(per_month, ["step", "accounts"], ["part", "new", "new_accounts"])
     days = days_in_month(F.col("month_idx"))
-    amounts = (
-        spine.join(per_tier.select(*KEYS, "step", "part", "new"), KEYS, "left")
-        .withColumn("full", F.sum(F.coalesce("step", F.lit(0))).over(order))
-        .select(
-            *KEYS,
-            (F.col("full") * days + F.coalesce("part", F.lit(0))).alias("starting_num"),
-            F.coalesce("new", F.lit(0)).alias("new_num"),
-        )
+    return months.select(
+        *KEYS,
+        (F.col("step") * days + F.col("part")).alias("starting_num"),
+        F.col("new").alias("new_num"),
+        F.col("accounts").alias("starting_count"),
+        F.col("new_accounts").alias("new_count"),
     )
-    counts = _running(spine, changes, "accounts").withColumnRenamed("accounts", "starting_count")
-    return amounts.join(counts, KEYS).join(new_accounts, KEYS, "left")
 
 
 def _start_new_explode(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -273,43 +276,54 @@ def active_accounts(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
 
     Months run from the first start to the last dated end; contracts without an end stay active.
     """
-    end = open_as_null(F.col("end_date"))
-    lo = month_index(F.col("start_date"))
+    end = month_index(open_as_null(F.col("end_date")))
     forever = F.lit(10**6)
-    starts = contracts.groupBy("account_number", "cxn_code", lo.alias("lo")).agg(
-        F.max(F.coalesce(month_index(end), forever)).alias("hi"),
-        F.max(month_index(end)).alias("last_idx"),
-    )
-    bounds = (
-        add_tiers(
-            starts.groupBy("cxn_code").agg(
-                F.min("lo").alias("first_idx"), F.max("last_idx").alias("last_idx")
-            ),
-            cfg.tiers,
+    starts = contracts.groupBy(
+        "account_number", "cxn_code", month_index(F.col("start_date")).alias("s")
+    ).agg(F.max(F.coalesce(end, forever)).alias("hi"))
+    # the last dated end shows in the events only where nothing outlasts it
+    last = add_tiers(contracts.groupBy("cxn_code").agg(F.max(end).alias("last_idx")), cfg.tiers)
+    events = _account_events(starts.withColumn("lo", F.col("s")), cfg)
+    ends = last.groupBy("tier").agg(F.max("last_idx").alias("last_idx"))
+    bounded = (
+        events.unionByName(
+            ends.filter("last_idx IS NOT NULL").withColumn("month_idx", F.col("last_idx")),
+            allowMissingColumns=True,
         )
-        .groupBy("tier")
-        .agg(F.min("first_idx").alias("first_idx"), F.max("last_idx").alias("last_idx"))
+        .groupBy(*KEYS)
+        .agg(F.sum("accounts").alias("accounts"), F.max("last_idx").alias("last_idx"))
     )
-    changes = _interval_events(starts.filter("lo <= hi").drop("last_idx"), cfg)
-    running = _running(_spine_of(bounds), changes, "accounts")
-    return running.select(
+    return _fill_months(bounded, ["accounts"], []).select(
         "tier",
         month_label(F.col("month_idx")).alias("month"),
         F.col("accounts").cast("bigint").alias("active_accounts"),
     )
 
 
-def mrr_waterfall(
-    start_new: DataFrame, expansion: DataFrame, contraction: DataFrame, churn: DataFrame
-) -> DataFrame:
-    """Join the movements to the calendar and derive net and ending figures.
+def align(months: DataFrame, *others: DataFrame) -> DataFrame:
+    """Left-join tables with one row per tier and month, in a single shuffle.
+
+    Stacking the tables and grouping once does what a chain of equi-joins on the same keys would.
+    """
+    keys = ["tier", "month"]
+    stacked = months.withColumn("_kept", F.lit(1))
+    for other in others:
+        stacked = stacked.unionByName(other, allowMissingColumns=True)
+    values = [c for c in stacked.columns if c not in (*keys, "_kept")]
+    return (
+        stacked.groupBy(*keys)
+        .agg(F.max("_kept").alias("_kept"), *[F.max(c).alias(c) for c in values])
+        .filter("_kept = 1")
+        .drop("_kept")
+    )
+
+
+def mrr_waterfall(start_new: DataFrame, *movements: DataFrame) -> DataFrame:
+    """Align expansion, contraction and churn with the calendar; derive net and ending figures.
 
     Every month starts from its own Starting MRR; nothing is carried forward.
     """
-    joined = start_new
-    for movement in (expansion, contraction, churn):
-        joined = joined.join(movement, ["tier", "month"], "left")
-    joined = joined.na.fill(
+    joined = align(start_new, *movements).na.fill(
         0,
         subset=[
             "expansion",
@@ -347,8 +361,7 @@ def waterfall(contracts: DataFrame, cfg: RunConfig, form: str = "difference") ->
     """The monthly waterfall of every tier, from deduplicated contracts."""
     flow = mrr_waterfall(
         start_new_mrr(contracts, cfg, form),
-        expansion_revenue(contracts, cfg),
-        contraction_revenue(contracts, cfg),
+        price_moves(contracts, cfg),
         churn_revenue(contracts, cfg),
     )
     return add_month_numbers(flow).select("tier", *WATERFALL_COLUMNS)

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from waterline.config import TIER_KEYS, RunConfig
 from waterline.operators.dedupe import exclusivity_conflicts
 from waterline.operators.pricing import PriceChange, reprice
-from waterline.operators.sites import add_take_rate, base_added, site_opens
+from waterline.operators.sites import add_take_rate, site_metrics
 from waterline.operators.unit_revenue import add_parpu, arpu
-from waterline.operators.waterfall import arr, waterfall
+from waterline.operators.waterfall import align, arr, waterfall
 from waterline.plans.prep import prepare_contracts
 from waterline.schema import MONTHLY_TITLES
 from waterline.sources import sinks
@@ -26,12 +26,9 @@ def combine(
 ) -> DataFrame:
     """Waterfall plus ARPU, per-unit ratios, site openings, base and take rate: 29 columns."""
     monthly_arpu = arpu(contracts, cfg).select("tier", F.col("month_key").alias("month"), "arpu")
-    keys = ["tier", "month"]
     joined = (
-        flow.join(monthly_arpu, keys, "left")
+        align(flow, monthly_arpu, site_metrics(contracts, sites, cfg))
         .transform(add_parpu, cfg.zero_denominator)
-        .join(site_opens(contracts, sites, cfg), keys, "left")
-        .join(base_added(contracts, sites, cfg), keys, "left")
         .na.fill(0, subset=["site_opens"])
     )
     return add_take_rate(joined).select("tier", *MONTHLY_TITLES.values())

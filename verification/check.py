@@ -23,6 +23,8 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # call sites of single column expressions, for error messages
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
     )
@@ -69,7 +71,10 @@ def differences(got, expected) -> list[str]:
     if len(gr) != len(er):
         return [f"rows {len(gr)} != {len(er)}"]
     bad = [(g, e) for g, e in zip(gr, er, strict=True) if g != e]
-    return [f"{len(bad)} rows differ, first: {dict(zip(gc, zip(*bad[0], strict=True), strict=True))}"] if bad else []
+    if not bad:
+        return []
+    first = {c: pair for c, pair in zip(gc, zip(*bad[0], strict=True), strict=True)}
+    return [f"{len(bad)} rows differ, first: {first}"]
 
 
 def main(argv: list[str]) -> int:

@@ -116,7 +116,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form, one row per supplier and segment."""
     return (
         table(spark, sf_dir, "supplier")
-        .withColumn("segment", F.explode(F.array(*[F.lit(s) for s in SEGMENTS])))
+        .withColumn("segment", F.explode(F.sequence(F.lit(SEGMENTS[0]), F.lit(SEGMENTS[-1]))))
         .selectExpr(
             "cast(s_suppkey as string) as site",
             "cast(date '1994-06-01' + cast(s_suppkey % 90 as int) * interval '1' month as date)"

@@ -408,6 +408,7 @@ def oracle_sql() -> dict[str, str]:
               (SELECT count(*) FROM split) AS contracts_after FROM cuts c""",
         "calendar_spine": f"{base_run} SELECT tier, strftime(m0, '%Y-%m') AS month FROM spine",
         "mrr_start_new": f"{base_run} SELECT * FROM start_new",
+        "mrr_start_new_explode": f"{base_run} SELECT * FROM start_new",
         "mrr_start_new_early": f"WITH {prep(early)},{tiered()},{start_new(early)}"
         " SELECT * FROM start_new",
         "active_accounts": f"""WITH {prep()},{tiered()},
@@ -423,6 +424,10 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY ALL""",
         "expansion": f"WITH {prep()},{tiered()},{EXPANSION} SELECT * FROM expansion",
         "contraction": f"WITH {prep()},{tiered()},{CONTRACTION} SELECT * FROM contraction",
+        "price_moves": f"""WITH {prep()},{tiered()},{EXPANSION},{CONTRACTION}
+            SELECT tier, month, expansion, coalesce(expansion_count, 0) AS expansion_count,
+              contraction, coalesce(contraction_count, 0) AS contraction_count
+            FROM expansion FULL JOIN contraction USING (tier, month)""",
         "churn_revenue": f"WITH {prep()},{tiered()},{CHURN} SELECT * FROM churn",
         "mrr_waterfall": f"WITH {waterfall()} SELECT * EXCLUDE (tier) FROM waterfall"
         " WHERE tier = 'Full'",

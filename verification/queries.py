@@ -46,7 +46,7 @@ def present(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DateType):
-            column = F.coalesce(F.date_format(column, "yyyy-MM-dd"), F.lit(""))
+            column = F.coalesce(column.cast("string"), F.lit(""))
         elif isinstance(field.dataType, T.DecimalType):
             column = column.cast("double")
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
@@ -198,9 +198,11 @@ QUERIES: dict[str, Query] = {
     "mrr_start_new_early": lambda s, d: waterfall.start_new_mrr(
         staged(s, d, EARLY_CONFIG), EARLY_CONFIG
     ),
+    "mrr_start_new_explode": lambda s, d: waterfall.start_new_mrr(staged(s, d), CONFIG, "explode"),
     "active_accounts": lambda s, d: waterfall.active_accounts(deduped(s, d), CONFIG),
     "expansion": lambda s, d: movements.expansion_revenue(deduped(s, d), CONFIG),
     "contraction": lambda s, d: movements.contraction_revenue(deduped(s, d), CONFIG),
+    "price_moves": lambda s, d: movements.price_moves(deduped(s, d), CONFIG),
     "churn_revenue": lambda s, d: movements.churn_revenue(deduped(s, d), CONFIG),
     "mrr_waterfall": lambda s, d: flow(s, d)
     .filter(F.col("tier") == FULL)

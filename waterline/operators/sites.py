@@ -33,7 +33,7 @@ def _released(sites: DataFrame, cfg: RunConfig) -> DataFrame:
     Every site appears in every tier, if only with base 0: opening does not depend on segments.
     """
     member = F.array_contains(tiers_of(F.col("cxn_code"), cfg.tiers), F.col("tier"))
-    counted = member & F.col("cxn_code").isin(*SEGMENTS)
+    counted = member & F.col("cxn_code").between(SEGMENTS[0], SEGMENTS[-1])
     return (
         sites.filter(F.col("site").isNotNull() & F.col("release_date").isNotNull())
         .select(

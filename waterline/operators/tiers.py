@@ -24,18 +24,22 @@ def tiers_of(cxn_code: Column, tiers: Mapping[str, Sequence[int]] = TIER_SEGMENT
     for tier, codes in tiers.items():
         for code in codes:
             members.setdefault(int(code), []).append(tier)
-    full = F.array(F.lit(FULL))
+    full = f"array({_text(FULL)})"
     if not members:
-        return full
-    lookup = F.create_map(
-        *[
-            x
-            for code, names in sorted(members.items())
-            for x in (F.lit(code), F.array(*[F.lit(n) for n in names]))
-        ]
+        return F.expr(full)
+    # One constant map, parsed in one go: a call per entry would cost more than the query's plan.
+    entries = ", ".join(
+        f"{code}, array({', '.join(_text(n) for n in names)})"
+        for code, names in sorted(members.items())
     )
-    none = F.array().cast("array<string>")
-    return F.concat(full, F.coalesce(F.try_element_at(lookup, cxn_code), none))
+    none = F.expr("cast(array() AS array<string>)")
+    found = F.try_element_at(F.expr(f"map({entries})"), cxn_code)
+    return F.concat(F.expr(full), F.coalesce(found, none))
+
+
+def _text(name: str) -> str:
+    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def add_tiers(df: DataFrame, tiers: Mapping[str, Sequence[int]] = TIER_SEGMENTS) -> DataFrame:

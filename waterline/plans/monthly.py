@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waterline.config import TIER_KEYS, RunConfig
+from waterline.operators.cleaning import handle_missing_data
 from waterline.operators.dedupe import exclusivity_conflicts
 from waterline.operators.pricing import PriceChange, reprice
 from waterline.operators.sites import add_take_rate, site_metrics
@@ -17,7 +18,9 @@ from waterline.operators.waterfall import align, arr, waterfall
 from waterline.plans.prep import prepare_contracts
 from waterline.schema import MONTHLY_TITLES
 from waterline.sources import sinks
+from waterline.sources.contracts import read_contracts_csv, validate
 from waterline.sources.layout import Layout
+from waterline.sources.sites import read_sites_csv
 from waterline.sources.staging import materialise
 
 
@@ -104,3 +107,25 @@ def batch_run(
 ) -> MonthlyRun:
     """:func:`monthly_run` for tiers given by number; all of them by default."""
     return monthly_run(contracts, sites, cfg, changes, select_tiers(cfg, keys), layout)
+
+
+def run_from_files(
+    spark: SparkSession,
+    contracts_csv: str,
+    sites_csv: str,
+    cfg: RunConfig,
+    layout: Layout,
+    keys: Sequence[int] | None = None,
+    changes: Sequence[PriceChange] = (),
+    fill_ids: bool = False,
+) -> MonthlyRun:
+    """Everything from raw files to written results, with the monthly tables as CSV per tier too."""
+    raw = validate(read_contracts_csv(spark, contracts_csv))
+    cleaned = handle_missing_data(raw, fill_ids)
+    path = sinks.write_cleaned(cleaned, layout)
+    cleaned = spark.read.schema(cleaned.schema).parquet(path)
+    run = batch_run(cleaned, read_sites_csv(spark, sites_csv), cfg, keys, changes, layout)
+    tiers = select_tiers(cfg, keys)
+    sinks.export_csv(run.waterfall, layout, tiers, bool(changes))
+    sinks.export_csv(run.combined, layout, tiers, bool(changes))
+    return run

@@ -21,6 +21,8 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # many queries in one session: keep their compiled stages
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         # call sites of single column expressions, for error messages

@@ -10,6 +10,8 @@ from waterline.forecast.models import ENDING_MRR, LARGE_SEGMENT, NET_NEW_MRR, OL
 from waterline.forecast.solver import minimise
 from waterline.plans.forecasting import auto_forecast, forecast
 from waterline.schema import MONTHLY_SCHEMA
+from waterline.sources import sinks
+from waterline.sources.layout import Layout
 
 N = 41
 TIERS = ["Full", "high_performers", "moderate_performers", "underperformers"]
@@ -241,3 +243,10 @@ def test_coefficient_names(monthly):
     assert len(names) == 35 and names[7] == "month_sequential^2" and names[8] == "month_sequential month_number"
     assert {r.term for r in out.coefficients.collect()} <= set(names)
     assert all(abs(r.coefficient) > 0.01 for r in out.coefficients.collect())
+
+
+def test_predictions_sink(spark, monthly, tmp_path):
+    out = forecast(monthly, TREND, 2)
+    path = sinks.write_predictions(out.trend, Layout(str(tmp_path)), "Ending MRR")
+    assert path.endswith("forecasts/Ending_MRR_predictions")
+    assert spark.read.parquet(path).filter("tier = 'Full'").count() == N - 1 + 2

@@ -21,8 +21,10 @@ _CHANGES = ", ".join(
 _STAR = """
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
 
-CONTRACTS = f"""
-contracts AS (SELECT {CONTRACT_COLUMNS.replace('as string', 'as varchar')} {_STAR}),
+HEAD = f"""
+contracts AS (SELECT {CONTRACT_COLUMNS.replace('as string', 'as varchar')} {_STAR})"""
+
+BUSINESS = f"""
 opened AS (
   SELECT * REPLACE (CASE WHEN year(end_date) >= 2999 THEN NULL ELSE end_date END AS end_date)
   FROM contracts),
@@ -36,6 +38,7 @@ business AS (
   FROM opened
   WHERE package_group IN ({_IN_PACKAGES}) AND test_flag = 0
     AND (end_date IS NULL OR start_date <= end_date))"""
+CONTRACTS = f"{HEAD},{BUSINESS}"
 
 SITES = """
 site_rows AS (
@@ -46,8 +49,8 @@ site_rows AS (
   FROM supplier, range(1, 54) AS s(segment))"""
 
 
-def prep(as_of: dt.date = AS_OF) -> str:
-    return f"""{CONTRACTS},
+def prep(as_of: dt.date = AS_OF, head: str = HEAD) -> str:
+    return f"""{head},{BUSINESS},
 gone AS (
   SELECT account_number, min(end_date) AS churn_date FROM business GROUP BY account_number
   HAVING NOT bool_or(
@@ -328,6 +331,15 @@ def _cleaned() -> str:
     FROM raw"""
 
 
+def _cleaned_head() -> str:
+    """Cleaned raw rows in the place of ``contracts``."""
+    return f"""{RAW},
+contracts AS (
+  SELECT * REPLACE (coalesce(package_group, 'Unknown') AS package_group,
+    coalesce(reason_group, 'Unknown') AS reason_group,
+    CAST({_PRICE} AS DECIMAL(18,2)) AS price) FROM raw)"""
+
+
 def _quantile(p: float) -> str:
     """Linear interpolation, spelled out: the built-in rounds its blend differently."""
     low = f"max(v) FILTER (rk = floor({p} * top))"
@@ -362,6 +374,10 @@ def oracle_sql() -> dict[str, str]:
             for c in ("test_flag", "cxn_code", "discount", "tax", "order_key", "part_key")
         ),
         "cleaned_contracts": f"WITH {RAW} {_cleaned()}",
+        "prepared_from_raw": f"WITH {prep(head=_cleaned_head())} SELECT {_TAGGED} FROM deduped",
+        "csv_round_trip": f"WITH {CONTRACTS} SELECT {_ROW} FROM opened",
+        "wide_sites": f"WITH {SITES} SELECT site, month, CAST(cxn_code AS BIGINT) AS cxn_code,"
+        " base FROM site_rows",
         "business_filter": f"WITH {CONTRACTS} SELECT {_ROW} FROM business",
         "time_keys": f"WITH {CONTRACTS} SELECT {_KEYED} FROM business",
         "churn_accounts": f"""WITH {prep()}

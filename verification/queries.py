@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,8 @@ from verification.fixtures import (
     sites,
     table,
 )
-from waterline.config import FULL, RunConfig
+from waterline.config import FULL, SEGMENTS, RunConfig
+from waterline.functions.calendar import month_key
 from waterline.functions.money import format_currency
 from waterline.operators import (
     churn,
@@ -34,8 +36,11 @@ from waterline.operators import (
 )
 from waterline.operators import sites as site_ops
 from waterline.plans import monthly, prep
-from waterline.schema import MONTHLY_TITLES, WATERFALL_COLUMNS
-from waterline.sources.staging import materialise
+from waterline.schema import WATERFALL_COLUMNS
+from waterline.sources import sinks
+from waterline.sources.contracts import read_contracts_csv
+from waterline.sources.sites import to_long
+from waterline.sources.staging import materialise, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +138,37 @@ def _cleaned(spark, sf):
     return cleaned.na.fill(-1, subset=["test_flag", "cxn_code"])
 
 
+def _prepared_from_raw(spark, sf):
+    out = prep.clean_and_prepare(raw_contracts(spark, sf), CONFIG)
+    return out.drop("discount", "tax")
+
+
+def _csv_round_trip(spark, sf):
+    """Out as a file with titles and text prices, and back in."""
+    rows = contracts(spark, sf)
+    path = f"{shared_folder(spark)}/staged/csv-{uuid.uuid4().hex}"
+    text = sinks.titled(
+        rows.withColumn("price", format_currency(F.col("price"))), sinks.CONTRACT_FILE_TITLES
+    )
+    text.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    back = cleaning.parse_price(filters.parse_dates(read_contracts_csv(spark, path)))
+    keys = ["order_key", "line_number", "part_key"]
+    return back.withColumns({k: F.col(k).cast("bigint") for k in keys})
+
+
+def _wide_sites(spark, sf):
+    """One row per site with a column per segment, as site files hold them, and back."""
+    wide = (
+        sites(spark, sf)
+        .groupBy(F.col("site").alias("Site"), F.col("release_date").alias("Date"))
+        .pivot("cxn_code", list(SEGMENTS))
+        .agg(F.sum("base"))
+    )
+    return to_long(wide).select(
+        "site", month_key(F.col("release_date")).alias("month"), "cxn_code", "base"
+    )
+
+
 def _churn_summary(spark, sf):
     per_account = churn.account_status(keyed(spark, sf), AS_OF)
     return per_account.groupBy("churn_flag").agg(
@@ -173,6 +209,9 @@ QUERIES: dict[str, Query] = {
     "fill_median": _fill_median,
     "medians": _medians,
     "cleaned_contracts": _cleaned,
+    "prepared_from_raw": _prepared_from_raw,
+    "csv_round_trip": _csv_round_trip,
+    "wide_sites": _wide_sites,
     # filters, churn, tagging, dedupe
     "business_filter": business,
     "time_keys": keyed,

@@ -120,7 +120,8 @@ def run_from_files(
     fill_ids: bool = False,
 ) -> MonthlyRun:
     """Everything from raw files to written results, with the monthly tables as CSV per tier too."""
-    raw = validate(read_contracts_csv(spark, contracts_csv))
+    # profile, medians and cleaning each read the rows; text is parsed only once
+    raw = materialise(validate(read_contracts_csv(spark, contracts_csv)), "raw")
     cleaned = handle_missing_data(raw, fill_ids)
     path = sinks.write_cleaned(cleaned, layout)
     cleaned = spark.read.schema(cleaned.schema).parquet(path)

@@ -55,6 +55,21 @@ def test_start_after_the_analysis_date(contracts, cfg, form):
     assert waterfall.start_new_mrr(contracts(late), cfg, form).count() == 0
 
 
+@pytest.mark.parametrize("form", FORMS)
+def test_only_contracts_that_last_cover_months(contracts, cfg, form):
+    rows = [
+        # starts on the first after the analysis date, open: never active
+        contract("A", start="2024-08-01"),
+        # same account and month, active from the month after
+        contract("A", package="Q", start="2024-08-09", end="2024-10-05"),
+        contract("A", start="2024-01-10", end="2024-02-10"),
+    ]
+    out = waterfall.start_new_mrr(contracts(*rows), cfg, form)
+    counts = full(out, "starting_count")
+    assert counts == {m: v[3] for m, v in brute_force(rows, cfg.as_of).items()}
+    assert (counts["2024-02"], counts["2024-08"], counts["2024-09"]) == (1, 0, 1)
+
+
 def random_rows(seed, n=300, hot=True):
     rng = random.Random(seed)
     rows = []
@@ -104,9 +119,12 @@ def brute_force(rows, as_of, codes=None, exclusive=False):
 
 
 @pytest.mark.parametrize("form", FORMS)
-@pytest.mark.parametrize("exclusive", [False, True])
-def test_against_brute_force(contracts, cfg, form, exclusive):
-    rows = random_rows(7)
+@pytest.mark.parametrize(
+    "exclusive, as_of", [(False, "2024-06-15"), (True, "2024-06-15"), (False, "2022-09-01")]
+)
+def test_against_brute_force(contracts, cfg, form, exclusive, as_of):
+    rows = random_rows(7, 500)
+    cfg = replace(cfg, as_of=dt.date.fromisoformat(as_of))
     settings = replace(cfg, exclusive_start=exclusive)
     out = as_dicts(waterfall.start_new_mrr(contracts(*rows).repartition(5), settings, form))
     tiers = {"Full": None, **TIER_SEGMENTS}

@@ -191,9 +191,12 @@ def _start_new_difference(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
         ),
         cfg.tiers,
     ).drop("cxn_code")
-    # One row per account, segment and starting month, however many contracts.
+    # One row per account, segment and starting month, however many contracts. Those that can start
+    # in the month itself and those from the next one on meet, so together they cover one interval;
+    # contracts that end before they can start cover nothing.
     starts = terms.groupBy("account_number", "cxn_code", "s").agg(
-        F.min("first").alias("lo"), F.max("e").alias("hi")
+        F.min(F.when(lasting, F.col("first"))).alias("lo"),
+        F.max(F.when(lasting, F.col("e"))).alias("hi"),
     )
     both = amounts.unionByName(_account_events(starts, cfg), allowMissingColumns=True)
     columns = ["step", "part", "new", "accounts", "new_accounts"]

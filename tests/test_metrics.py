@@ -5,7 +5,6 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from conftest import as_dicts, contract
-from pyspark.sql import functions as F
 
 from waterline.operators import filters, sites, unit_revenue
 from waterline.plans.monthly import batch_run, monthly_run, select_tiers

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from waterline.config import MAX_CSV_COLUMNS
 from waterline.schema import CONTRACT_TITLES
@@ -74,7 +73,3 @@ def validate(df: DataFrame) -> DataFrame:
     if absent:
         raise ValueError(f"contract columns missing: {', '.join(absent)}")
     return df
-
-
-def text_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]

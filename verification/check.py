@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -29,6 +30,8 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
+        # this session and its executors are one process
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="waterline-"))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

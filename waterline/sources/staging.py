@@ -2,36 +2,57 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-_local_folders: dict[str, str] = {}
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints. Only a local session may go without."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="waterline-")
-    return _local_folders[app]
+    """The folder the cluster names for checkpoints; unset, a folder in the session's warehouse.
+
+    Driver and executors share both by definition, so no machine-local folder is ever used.
+    """
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get(WAREHOUSE_DIR)}/_checkpoints"
+    return folder.rstrip("/")
+
+
+def staging_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a columnar table in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs its running tasks only, and every later step reads
-    just the columns it needs, with known sizes. The files stay until the folder is cleaned.
+    just the columns it needs, with known sizes. The application's tables go when it ends, or
+    earlier by ``release``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _delete_at_exit(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        folder = staging_folder(spark).split(":", 1)[-1].lstrip("/")
+        for file in frame.inputFiles()[:1]:
+            path = file.rsplit("/", 1)[0]
+            if folder not in path:
+                raise ValueError(f"{path} is not a staged table")
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+            target.getFileSystem(conf).delete(target, True)

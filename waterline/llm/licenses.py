@@ -26,13 +26,13 @@ LICENSES = (
     ("mit", "mit", "mit license|mit licence|mit licensed|the mit license mit|expat license", "permission is hereby granted free of charge to any person obtaining a copy of this software", "opensource org licenses? mit"),
     ("apache-2.0", "apache", "apache license version 2(?: 0)?|apache 2(?: 0)? license|apache software license version 2(?: 0)?|asl 2 0", "you may not use this file except in compliance with the license", "apache org licenses license 2 0"),
     ("apache-1.1", "apache", "apache software license version 1 1|apache license version 1 1|apache license 1 1", "this product includes software developed by the apache software foundation", "apache org licenses license 1 1"),
-    ("gpl-1.0", "general public", "gnu general public license v(?:ersion )?1|gnu gpl v(?:ersion )?1|gplv1", "gnu general public license version 1", "gnu org licenses gpl 1 0"),
+    ("gpl-1.0", "general public", "gnu general public license v(?:ersion )?1|gnu gpl v(?:ersion )?1|gplv1", "version 1 of the gnu general public license", "gnu org licenses gpl 1 0"),
     ("gpl-2.0", "general public", "gnu general public license v(?:ersion )?2|gnu gpl v(?:ersion )?2|gplv2", "either version 2 of the license or at your option any later version", "gnu org licenses (?:old licenses )?gpl 2 0"),
     ("gpl-3.0", "general public", "gnu general public license v(?:ersion )?3|gnu gpl v(?:ersion )?3|gplv3", "either version 3 of the license or at your option any later version", "gnu org licenses gpl 3 0"),
-    ("lgpl-2.0", "general public", "gnu library general public license v(?:ersion )?2|gnu lgpl v(?:ersion )?2|lgplv2", "gnu library general public license", "gnu org licenses (?:old licenses )?lgpl 2 0"),
+    ("lgpl-2.0", "general public", "gnu library general public license v(?:ersion )?2|gnu lgpl v(?:ersion )?2|lgplv2", "version 2 of the gnu library general public license", "gnu org licenses (?:old licenses )?lgpl 2 0"),
     ("lgpl-2.1", "general public", "gnu lesser general public license v(?:ersion )?2 1|gnu lgpl v(?:ersion )?2 1|lgplv2 1", "either version 2 1 of the license or at your option any later version", "gnu org licenses (?:old licenses )?lgpl 2 1"),
-    ("lgpl-3.0", "general public", "gnu lesser general public license v(?:ersion )?3|gnu lgpl v(?:ersion )?3|lgplv3", "gnu lesser general public license", "gnu org licenses lgpl 3 0"),
-    ("agpl-3.0", "affero", "gnu affero general public license v(?:ersion )?3|gnu agpl v(?:ersion )?3|agplv3", "gnu affero general public license", "gnu org licenses agpl 3 0"),
+    ("lgpl-3.0", "general public", "gnu lesser general public license v(?:ersion )?3|gnu lgpl v(?:ersion )?3|lgplv3", "version 3 of the gnu lesser general public license", "gnu org licenses lgpl 3 0"),
+    ("agpl-3.0", "affero", "gnu affero general public license v(?:ersion )?3|gnu agpl v(?:ersion )?3|agplv3", "version 3 of the gnu affero general public license", "gnu org licenses agpl 3 0"),
     ("bsd-2-clause", "bsd", "bsd 2 clause(?: simplified)? license|simplified bsd license|two clause bsd license|freebsd license", "redistributions in binary form must reproduce the above copyright notice this list of conditions", "opensource org licenses? bsd 2 clause"),
     ("bsd-3-clause", "bsd", "bsd 3 clause(?: new or revised)? license|new bsd license|modified bsd license|three clause bsd license", "neither the name of the copyright holder nor the names of its contributors may be used", "opensource org licenses? bsd 3 clause"),
     ("bsd-4-clause", "bsd", "bsd 4 clause license|original bsd license|four clause bsd license|bsd style license", "all advertising materials mentioning features or use of this software must display", "spdx org licenses bsd 4 clause"),

@@ -31,8 +31,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
-_CUE = re.compile(r"([^\W_][\w-]{0,39})[\x20\t]{0,3}([:=#])[\x20\t]{0,3}[\"'(<]?([^\s\"'<>()]{4,80})")
-_DIGIT_OR_AT = re.compile(r"[0-9@]")
+_CUE = re.compile(r"([^\W_][\w-]{0,39})[\x20\t]{0,3}([:=#])[\x20\t]{0,3}[\"'(<]?([^\s\"'<>()]{1,80})")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -77,16 +76,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def cue_rows(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int, int]]:
     """(cue, token, kind or -1, start, end) of each token that a cue announces.
 
-    The kind is that of a seed which starts where the token does. Tokens that touch another seed are
-    left out: that part of the text is settled.
+    A seed that starts there is the token, with its kind. Tokens that touch another seed are left
+    out: that part of the text is settled.
     """
-    starts = {s: k for k, s, _ in reversed(spans)}
+    starts = {s: (k, e) for k, s, e in reversed(spans)}
     covered = sorted((s, e) for _, s, e in spans)
     rows, at = [], 0
     for match in _CUE.finditer(text):
         start, end = match.span(3)
         end -= len(match[3]) - len(match[3].rstrip(".,;:!?"))
-        kind = starts.get(start, -1)
+        kind, end = starts.get(start, (-1, end))
         while at < len(covered) and covered[at][1] <= start:
             at += 1
         if kind < 0 and at < len(covered) and covered[at][0] < end:
@@ -122,15 +121,20 @@ def scan(docs: DataFrame, key: Column) -> DataFrame:
     return rows.mapInArrow(_scan, f"key {kind}, base {spans}, cues {cues}")
 
 
+def identifier(token: Column) -> Column:
+    """Whether a token could be an identifier at all."""
+    return token.rlike("[0-9@]") & (F.length(token) >= 4)
+
+
 def cue_scores(cues: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``(cue, kind, score, seeds)`` of the cues in ``cues(cue, token, kind)``.
 
     Edges are counted once per cue and token. A token that is a seed scores 1 for its kind. A cue's
     score for a kind is the mean over its tokens; another token's is ``1 - product(1 - cue score)``
-    over its cues if it could be an identifier, that is, has a digit or an at sign.
+    over its cues if it could be an identifier.
     """
     edges = cues.groupBy("cue", "token").agg(F.max("kind").alias("kind"))
-    edges = materialise(edges.withColumn("open", (F.col("kind") < 0) & F.col("token").rlike("[0-9@]")), "edges")
+    edges = materialise(edges.withColumn("open", (F.col("kind") < 0) & identifier(F.col("token"))), "edges")
     sizes = edges.groupBy("cue").agg(F.count("*").alias("tokens"))
     seeds = edges.filter("kind >= 0").groupBy("cue", "kind").agg(F.count("*").alias("seeds"))
     scores = seeds.join(sizes, "cue").withColumn("score", F.col("seeds") / F.col("tokens"))
@@ -162,7 +166,7 @@ def discovered(scanned: DataFrame) -> DataFrame:
     cues = scanned.select("key", F.explode("cues").alias("c")).select("key", "c.*")
     good = cue_scores(cues).filter((F.col("seeds") >= LEAST_SEEDS) & (F.col("score") >= LEAST_SCORE))
     good = good.groupBy("cue").agg(F.min(F.struct(-F.col("score"), F.col("kind").alias("as"))).alias("best"))
-    tokens = cues.filter((F.col("kind") < 0) & F.col("token").rlike("[0-9@]")).drop("kind")
+    tokens = cues.filter((F.col("kind") < 0) & identifier(F.col("token"))).drop("kind")
     hits = tokens.join(good, "cue").select("key", F.struct(F.col("best.as").alias("kind"), "start", "stop").alias("span"))
     return hits.groupBy("key").agg(F.collect_set("span").alias("added"))
 
@@ -220,7 +224,7 @@ def mask_documents(docs: DataFrame) -> DataFrame:
 
     @F.udf("string", useArrow=True)
     def mask(text, found):
-        return masked(text, [(s["kind"], s["start"], s["stop"]) for s in found])
+        return masked(text or "", [(s["kind"], s["start"], s["stop"]) for s in found])
 
     rows = numbered.join(spans, "key", "left")
     text = F.when(F.col("spans").isNotNull(), mask(F.col("row.text"), F.coalesce("spans", F.array().cast("array<struct<kind:int,start:int,stop:int>>")))).otherwise(F.col("row.text"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waterline.shipping import ship
+from waterline.llm.tables import prepare
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -226,6 +226,6 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     Repeated rows stay. An empty table gives no rows. Other columns are not read. Pages are read
     whole; a task holds one batch of them.
     """
-    ship(pages.sparkSession)
+    prepare(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

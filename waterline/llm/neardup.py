@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waterline.llm.tables import same
-from waterline.shipping import ship
+from waterline.llm.tables import prepare, same
 from waterline.sources.staging import materialise
 
 WORDS, PERCENT, SKETCH = 5, 80, 64
@@ -98,7 +97,7 @@ def text_hash(text: Column) -> Column:
 
 def sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
     """One row per row of ``docs``: its number, id, text hash, set size, set digest and sketch."""
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),

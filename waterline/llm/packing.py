@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waterline.llm.tokens import tokenizer
-from waterline.shipping import ship
+from waterline.llm.tables import prepare
 
 CAPACITY = 2048
 END = (1).to_bytes(4, "little")
@@ -124,7 +124,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     Repeated rows are packed as often as they occur. An empty table gives no rows. Other columns of
     ``docs`` are not read.
     """
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     ddl = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_cost double"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(lambda batches: _pack_rows(batches, tokenizer_path, capacity, block_tokens), ddl)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waterline.shipping import ship
+from waterline.llm.tables import prepare
 from waterline.sources.staging import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -113,7 +113,7 @@ def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan(docs: DataFrame, key: Column) -> DataFrame:
     """``(key, base, cues)`` of every row: seeds and announced tokens of the whole text."""
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(key.alias("key"), F.col("text").cast("string").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     spans = "array<struct<kind:int,start:int,stop:int>>"

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waterline.shipping import ship
+from waterline.llm.tables import prepare
 
 # Labelled documents a fit reads at most; they are the first in an order by hash of the id.
 TRAIN_ROWS = 8_000
@@ -172,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Forest:
     known = usable.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     order = F.xxhash64("doc_id"), F.col("doc_id")
     known = known.orderBy(*order).limit(rows)
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     # the sample has a bound of its own, so it may be sent to every task
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     measured = texts.select("doc_id", "label", _measured(F.col("text")).alias("x")).orderBy(*order, F.col("x")).limit(rows)

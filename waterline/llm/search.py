@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waterline.shipping import ship
+from waterline.llm.tables import prepare
 from waterline.sources.staging import materialise
 
 SCALE = 1024
@@ -117,7 +117,7 @@ def top_k(embeddings: DataFrame, every: int = 100, k: int = TOP) -> DataFrame:
     if k != TOP:
         raise ValueError(f"blocks keep {TOP} rows")
     spark = embeddings.sparkSession
-    ship(spark)
+    prepare(spark)
     rows = materialise(usable_vectors(embeddings).withColumn("rid", F.monotonically_increasing_id()), "vectors")
     rows = rows.withColumn("width", F.size("vector")).withColumn("block", F.shiftright("rid", CANDIDATE_BITS))
     asked = rows.filter((F.col("id") % every == 0) & (F.col("id") != LAST_ID)).drop("block")

@@ -5,11 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waterline.shipping import ship
+
 # The words of the contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Rows a Python worker gets at once: texts are long, and one batch is held on both sides.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Before the first Python function of a session: send the package, keep batches of texts small."""
+    ship(spark)
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

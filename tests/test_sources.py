@@ -39,7 +39,8 @@ def csv(tmp_path):
 
 
 def test_contract_csv(spark, csv):
-    df = source.validate(source.read_contracts_csv(spark, csv))
+    assert len(source.read_contracts_csv(spark, csv).columns) > 42
+    df = source.validate(source.read_contracts_csv(spark, csv, first=42))
     assert len(df.columns) == 42 and df.columns[-1] == "extra_27"
     rows = {r.account_number: r for r in df.collect()}
     assert rows["A1"].price == "$1,234.50 " and rows["A1"].cxn_code == 5

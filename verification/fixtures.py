@@ -63,10 +63,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if len(lines.inputFiles()) < cores:
-        # one small file is one task; a table of many files is left as it is
-        lines = lines.repartition(cores, "l_orderkey")
+    # the join below needs this partitioning anyway; asked for here, one small file is spread too
+    lines = lines.repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders")
     parts = table(spark, sf_dir, "part")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(

@@ -89,7 +89,6 @@ UNKNOWN = "Unknown"
 OPEN_YEAR = 2999
 SPARSE_PERCENT = 50.0
 CHURN_GRACE_DAYS = 30
-MAX_CSV_COLUMNS = 42
 
 GOOD_MONTHS: tuple[int, ...] = (3, 5, 6)
 BAD_MONTHS: tuple[int, ...] = (7, 8, 10, 12)

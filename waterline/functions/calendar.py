@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 from waterline.config import OPEN_YEAR
 
 
+DATE_FORMS = ("yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "yyyyMMdd", "d-MMM-yyyy")
+SHORT_YEAR_FORMS = ("M/d/yy", "d-MMM-yy")
+
+
 def parse_date(text: Column) -> Column:
-    """A date from ``yyyy-MM-dd`` or ``M/d/yyyy`` text, with or without a time; else NULL."""
-    head = F.regexp_extract(F.trim(text), r"^(\S+)", 1)
-    return F.coalesce(
-        F.try_to_timestamp(head, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(head, F.lit("M/d/yyyy")),
-    ).cast("date")
+    """A date in one of the known forms, with or without a time behind it; else NULL."""
+    head = F.regexp_extract(F.trim(text), r"^(\d+-\d+-\d+(?=T)|\S+)", 1)
+    day = F.coalesce(*[F.try_to_timestamp(head, F.lit(form)) for form in DATE_FORMS]).cast("date")
+    short = F.coalesce(*[F.try_to_timestamp(head, F.lit(form)) for form in SHORT_YEAR_FORMS]).cast("date")
+    # years 69 to 99 are of the last century
+    return F.coalesce(day, F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short))
 
 
 def open_as_null(end: Column) -> Column:

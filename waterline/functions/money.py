@@ -20,7 +20,8 @@ def format_currency(amount: Column) -> Column:
 
 
 def cents(price: Column) -> Column:
-    return (price * 100).cast("bigint")
+    """Whole cents; a DOUBLE price is rounded to the cent first, so 19.99 is 1999."""
+    return (price.cast(PRICE) * 100).cast("bigint")
 
 
 def dollars(total_cents: Column) -> Column:

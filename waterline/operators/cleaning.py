@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,14 @@ from waterline.operators.quantiles import exact_quantiles
 from waterline.schema import DATE_COLUMNS, ID_COLUMNS, PACKAGE_COLUMNS, PROTECTED_COLUMNS
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """The column with NaN as NULL: both are missing values."""
+    column = F.col(name)
+    if isinstance(df.schema[name].dataType, T.FractionalType) and not isinstance(df.schema[name].dataType, T.DecimalType):
+        return F.when(~F.isnan(column), column)
+    return column
+
+
 def missing_profile(df: DataFrame) -> DataFrame:
     """``(column_name, missing_count, missing_percentage, data_type)``, sparsest first.
 
@@ -21,7 +29,7 @@ def missing_profile(df: DataFrame) -> DataFrame:
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     counts = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+        F.count("*").alias("_rows"), *[F.count_if(known(df, c).isNull()).alias(c) for c in df.columns]
     )
     type_of = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
     return (
@@ -78,7 +86,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, median)``, exact; the mean of the middle two for an even count."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+    long = df.select(*[known(df, c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column_name", "value"
     )
     return exact_quantiles(long, ["column_name"], "value", {"median": 0.5})
@@ -91,13 +99,18 @@ def fill_medians(
 
     Ids (segment, site, test flag) have no meaningful median and stay NULL unless ``fill_ids``.
     Whole-number columns take the median only where it is whole; otherwise they become DOUBLE.
-    Runs one job: a median per column comes back, and the fill itself is a plain projection.
+    Medians are computed only for columns with gaps; a median per column comes back, and the fill
+    itself is a plain projection.
     """
     wanted = [
         c
         for c in (columns if columns is not None else numeric_columns(df))
         if fill_ids or c not in ID_COLUMNS
     ]
+    if not wanted:
+        return df
+    gaps = df.agg(*[F.count_if(known(df, c).isNull()).alias(c) for c in wanted]).first()
+    wanted = [c for c in wanted if gaps[c]]
     if not wanted:
         return df
     found = {r.column_name: r.median for r in medians(df, wanted).collect()}
@@ -106,7 +119,7 @@ def fill_medians(
         value = found.get(field.name)
         if value is None:
             continue
-        column = F.col(field.name)
+        column = known(df, field.name)
         whole = isinstance(field.dataType, T.IntegralType)
         if whole and not float(value).is_integer():
             column, target = column.cast("double"), T.DoubleType()

@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 
 from waterline.config import CORE_PACKAGES, UNUSED_COLUMNS
 from waterline.functions.calendar import TIME_KEYS, open_as_null, parse_date
-from waterline.functions.text import site_id
+from waterline.sources.contracts import canonical_name
 
 
 def drop_unused_columns(df: DataFrame, columns: Sequence[str] = UNUSED_COLUMNS) -> DataFrame:
-    return df.drop(*columns)
+    """Drop by file title and by the name the readers give it."""
+    return df.drop(*columns, *[canonical_name(c) for c in columns])
 
 
 def core_package(packages: Sequence[str] = CORE_PACKAGES) -> Column:
@@ -65,7 +66,3 @@ def apply_business_filters(
 def add_time_keys(df: DataFrame) -> DataFrame:
     """Week, month, quarter and year of the start date, as text."""
     return df.withColumns({name: key(F.col("start_date")) for name, key in TIME_KEYS.items()})
-
-
-def normalise_sites(df: DataFrame) -> DataFrame:
-    return df.withColumn("site", site_id(F.col("site").cast("string")))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from waterline.config import TIER_KEYS, RunConfig
 from waterline.operators.cleaning import handle_missing_data
 from waterline.operators.dedupe import exclusivity_conflicts
+from waterline.operators.filters import rejected_starts
 from waterline.operators.pricing import PriceChange, reprice
 from waterline.operators.sites import add_take_rate, site_metrics
 from waterline.operators.unit_revenue import add_parpu, arpu
@@ -49,6 +50,8 @@ class MonthlyRun:
     waterfall: DataFrame
     combined: DataFrame
     arr: DataFrame
+    # input rows without a readable start date; no metric counts them
+    rejects: DataFrame
 
 
 def select_tiers(cfg: RunConfig, keys: Sequence[int] | None = None) -> list[str]:
@@ -77,6 +80,9 @@ def monthly_run(
     unknown = set(wanted) - set(cfg.tier_names())
     if unknown:
         raise ValueError(f"unknown performance tier: {', '.join(sorted(unknown))}")
+    # other tiers are never computed
+    cfg = replace(cfg, tiers={name: segments for name, segments in cfg.tiers.items() if name in wanted})
+    rejects = rejected_starts(contracts)
     rows = prepare_contracts(contracts, cfg)
     if changes:
         rows = reprice(rows, changes, cfg.split_open, cfg.chain_changes, cfg.rekey_splits)
@@ -94,7 +100,8 @@ def monthly_run(
         sinks.write_waterfall(flow, layout, bool(changes))
         sinks.write_combined(combined, layout, bool(changes))
         sinks.write_exclusivity_errors(errors, layout)
-    return MonthlyRun(rows, errors, flow, combined, arr(combined))
+        sinks.write_rejects(rejects, layout)
+    return MonthlyRun(rows, errors, flow, combined, arr(combined), rejects)
 
 
 def batch_run(

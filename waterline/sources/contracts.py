@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waterline.config import MAX_CSV_COLUMNS
-from waterline.schema import CONTRACT_TITLES
+from waterline.schema import CONTRACT_TITLES, CONTRACT_TYPES, DATE_COLUMNS
 
 # Texts read as a missing value.
 MISSING_TEXTS: tuple[str, ...] = (
@@ -35,16 +34,16 @@ def read_text_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1")
 
 
 def read_contracts_csv(
-    spark: SparkSession, path: str, numeric: Sequence[str] = ()
+    spark: SparkSession, path: str, numeric: Sequence[str] = (), first: int | None = None
 ) -> DataFrame:
-    """The first 42 columns under canonical names.
+    """The columns under canonical names; ``first`` keeps so many of the file's only.
 
     Dates and price stay text until they are cleaned; flag and segment are integers. ``numeric``
     names further columns (canonical names) to read as numbers.
     """
     raw = read_text_csv(spark, path)
     columns = []
-    for position, title in enumerate(raw.columns[:MAX_CSV_COLUMNS]):
+    for position, title in enumerate(raw.columns[:first]):
         name = canonical_name(title)
         text = F.col(f"`{title}`")
         value = F.when(~text.isin(*MISSING_TEXTS), text)
@@ -57,9 +56,20 @@ def read_contracts_csv(
 
 
 def read_contracts_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """The Parquet twin: titles or canonical names, types as stored."""
+    """The Parquet twin: titles or canonical names, in the types of contracts."""
     raw = spark.read.parquet(path)
-    return raw.select(*[F.col(f"`{c}`").alias(canonical_name(c)) for c in raw.columns])
+    return typed(raw.select(*[F.col(f"`{c}`").alias(canonical_name(c)) for c in raw.columns]))
+
+
+def typed(df: DataFrame) -> DataFrame:
+    """Known columns in their types; a value that does not fit is an error. Text dates stay text."""
+    wanted = {}
+    for field in df.schema.fields:
+        target = CONTRACT_TYPES.get(field.name)
+        text_date = field.name in DATE_COLUMNS and field.dataType.simpleString() == "string"
+        if target is not None and field.dataType != target and not text_date:
+            wanted[field.name] = F.col(field.name).cast(target)
+    return df.withColumns(wanted) if wanted else df
 
 
 def missing_columns(df: DataFrame) -> list[str]:

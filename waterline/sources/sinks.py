@@ -107,6 +107,15 @@ def export_contracts_csv(
     return path
 
 
+def write_rejects(rejects: DataFrame, layout: Layout) -> str | None:
+    """Rows without a readable start date, only if there are any."""
+    if rejects.isEmpty():
+        return None
+    path = f"{layout.root}/Rejected_Rows"
+    _csv(titled(rejects, CONTRACT_FILE_TITLES), path)
+    return path
+
+
 def write_exclusivity_errors(conflicts: DataFrame, layout: Layout) -> str | None:
     """Conflicting rows, only if there are any."""
     if conflicts.isEmpty():

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -130,8 +131,35 @@ def test_impact(contracts):
     assert pricing.price_change_impact(df, []).count() == 0
 
 
-def test_changes_from_a_table(spark):
-    table = pricing.price_change_table(spark, ONE + price_changes([("Q", dt.date(2024, 1, 1), "1", "2")]))
-    assert pricing.from_table(table.orderBy(F.desc("seq"))) == ONE + price_changes(
-        [("Q", "2024-01-01", 1, 2)]
-    )
+def test_changes_from_a_table(contracts, spark):
+    listed = price_changes([("P", "2024-03-10", 50, 55), ("P", "2024-05-10", 55, 60), ("Q", "2024-04-01", 50, 51)])
+    table = pricing.price_change_table(spark, listed)
+    df = contracts(*[contract(f"A{i}", package="PQR"[i % 3], start=f"2024-{i % 9 + 1:02d}-05", end="2024-12-24", price="50") for i in range(30)])
+    for operator in (pricing.apply_price_changes, pricing.split_contracts, pricing.reprice, pricing.price_change_impact, pricing.split_summary):
+        assert sorted(map(tuple, operator(df, table).collect()), key=str) == sorted(map(tuple, operator(df, listed).collect()), key=str)
+
+
+def test_impact_of_many_changes(contracts):
+    """Any number of changes, against the rule spelled out row by row."""
+    rng = random.Random(5)
+    terms = [(rng.choice("PQ"), f"2024-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", rng.randint(1, 6), rng.randint(1, 6)) for _ in range(60)]
+    starts = [(rng.choice("PQR"), f"2024-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", rng.randint(1, 6)) for _ in range(80)]
+    df = contracts(*[contract(f"A{i}", package=p, start=s, end="2024-12-31", price=str(v)) for i, (p, s, v) in enumerate(starts)])
+    state = [v for _, _, v in starts]
+    expected = []
+    for package, day, old, new in terms:
+        hits = [[p == package, s >= day, now == old] for (p, s, _), now in zip(starts, state, strict=True)]
+        expected.append((*(sum(column) for column in zip(*hits, strict=True)), sum(map(all, hits))))
+        state = [new if all(h) else now for h, now in zip(hits, state, strict=True)]
+    got = pricing.price_change_impact(df, price_changes(terms)).orderBy("seq").collect()
+    assert [(r.package_matches, r.date_matches, r.price_matches, r.contracts_repriced) for r in got] == expected
+    cut = [sum(p == package and s < day < "2024-12-31" and now == old for (p, s, _), now in zip(starts, state, strict=True)) for package, day, old, _ in terms]
+    assert [r.contracts_cut for r in got] == cut
+
+
+def test_twenty_thousand_changes(contracts, spark):
+    long = price_changes([(f"P{i % 4000}", f"20{i // 4000 + 10}-01-01", i // 4000, i // 4000 + 1) for i in range(20_000)])
+    df = contracts(*[contract(f"A{i}", package=f"P{i}", start="2024-01-01", price="0") for i in range(5)])
+    for changes in (long, pricing.price_change_table(spark, long)):
+        assert {int(r.price) for r in pricing.apply_price_changes(df, changes).collect()} == {5}
+    assert pricing.price_change_impact(df, long).agg(F.sum("contracts_repriced")).first()[0] == 25

@@ -5,7 +5,7 @@ import pytest
 from conftest import contract
 from pyspark.sql import functions as F
 
-from waterline.operators.pricing import price_changes
+from waterline.operators.pricing import price_change_table, price_changes
 from waterline.plans.monthly import monthly_run, run_from_files
 from waterline.plans.prep import clean_and_prepare
 from waterline.schema import MONTHLY_TITLES
@@ -67,12 +67,12 @@ def test_raw_to_prepared(spark, csv, cfg):
 def test_price_change_csv(spark, tmp_path):
     path = tmp_path / "changes.csv"
     path.write_text("seq,package,effective_date,old_price,new_price\n2,Q,2024-02-01,1,2\n1,P,2024-01-01,1.50,2\n")
-    assert read_price_changes(spark, str(path)) == price_changes(
-        [("P", "2024-01-01", "1.5", 2), ("Q", "2024-02-01", 1, 2)]
-    )
+    listed = price_changes([("P", "2024-01-01", "1.5", 2), ("Q", "2024-02-01", 1, 2)])
+    read = read_price_changes(spark, str(path)).orderBy("seq").collect()
+    assert read == price_change_table(spark, listed).collect()
     path.write_text("seq,package,effective_date,old_price,new_price\n1,P,01.02.2024,x,2\n")
     with pytest.raises(Exception):
-        read_price_changes(spark, str(path))
+        read_price_changes(spark, str(path)).collect()
 
 
 def test_sites(spark, tmp_path):

@@ -417,7 +417,9 @@ def oracle_sql() -> dict[str, str]:
               count(DISTINCT account_number) AS accounts FROM tiered GROUP BY ALL""",
         "reprice_new": f"WITH {splits()} SELECT {_TAGGED} FROM repriced",
         "split_contracts": f"WITH {splits()} SELECT {_TAGGED} FROM split",
+        "split_contracts_by_table": f"WITH {splits()} SELECT {_TAGGED} FROM split",
         "price_change_impact": _impact(),
+        "price_change_impact_of_table": _impact(),
         "split_summary": f"""WITH {splits()}
             SELECT count(DISTINCT c.rid) AS contracts_cut,
               CAST(count(*) + count(DISTINCT c.rid) AS BIGINT) AS periods_created,

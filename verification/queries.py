@@ -230,6 +230,10 @@ QUERIES: dict[str, Query] = {
     "reprice_new": lambda s, d: pricing.apply_price_changes(deduped(s, d), CHANGES),
     "split_contracts": lambda s, d: pricing.reprice(deduped(s, d), CHANGES),
     "price_change_impact": lambda s, d: pricing.price_change_impact(deduped(s, d), CHANGES),
+    "split_contracts_by_table": lambda s, d: pricing.reprice(deduped(s, d), pricing.price_change_table(s, CHANGES)),
+    "price_change_impact_of_table": lambda s, d: pricing.price_change_impact(
+        deduped(s, d), pricing.price_change_table(s, CHANGES)
+    ),
     "split_summary": lambda s, d: pricing.split_summary(deduped(s, d), CHANGES),
     # monthly revenue
     "calendar_spine": lambda s, d: waterfall.calendar_spine(deduped(s, d), CONFIG),

@@ -1,7 +1,8 @@
 """Price-change scenarios: repricing of new contracts and splitting of running ones.
 
-Changes are a short list of terms. They travel as one constant map ``package -> changes``, so both
-operators are plain projections: no join, no shuffle, whatever the number of contracts.
+Changes are a list or a table of any length. They become one row per package with all its changes,
+joined to the contracts once: broadcast if it is known to be small, by a shuffle otherwise. Repricing
+and splitting are projections on top of that.
 """
 
 from __future__ import annotations
@@ -13,11 +14,14 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from waterline.functions.calendar import TIME_KEYS
 from waterline.schema import PRICE, PRICE_CHANGE_SCHEMA
 
-MAX_CHANGES = 10_000
+# A list of at most so many changes, of some 40 bytes each, is broadcast; longer ones, and tables that
+# the planner does not know to be small, meet the contracts in a shuffle.
+BROADCAST_CHANGES = 50_000
 
 _TERM = "struct<seq:int,eff:date,old:decimal(18,2),new:decimal(18,2)>"
 
@@ -41,6 +45,9 @@ class PriceChange:
         return cls(package, effective_date, old, new)
 
 
+Changes = Sequence[PriceChange] | DataFrame
+
+
 def price_changes(terms: Iterable[Sequence]) -> list[PriceChange]:
     """``(package, effective date, old price, new price)`` tuples, in the order they apply."""
     return [PriceChange.of(*t) for t in terms]
@@ -54,54 +61,59 @@ def price_change_table(spark: SparkSession, changes: Sequence[PriceChange]) -> D
     return spark.createDataFrame(rows, PRICE_CHANGE_SCHEMA)
 
 
-def from_table(table: DataFrame) -> list[PriceChange]:
-    """The changes of a ``(seq, package, effective_date, old_price, new_price)`` table."""
-    rows = table.orderBy("seq").limit(MAX_CHANGES + 1).collect()
-    if len(rows) > MAX_CHANGES:
-        raise ValueError(f"more than {MAX_CHANGES} price changes")
-    return [
-        PriceChange.of(r.package, r.effective_date, r.old_price, r.new_price) for r in rows
-    ]
+def as_table(spark: SparkSession, changes: Changes) -> DataFrame:
+    return changes if isinstance(changes, DataFrame) else price_change_table(spark, changes)
+
+
+def _per_package(spark: SparkSession, changes: Changes) -> DataFrame:
+    """``(package_group, _terms)``: the changes of a package in list order."""
+    if isinstance(changes, DataFrame):
+        term = F.struct(
+            F.col("seq").cast("int").alias("seq"),
+            F.col("effective_date").cast("date").alias("eff"),
+            F.col("old_price").cast(PRICE).alias("old"),
+            F.col("new_price").cast(PRICE).alias("new"),
+        )
+        named = changes.filter(F.col("package").isNotNull()).groupBy(F.trim("package").alias("package_group"))
+        return named.agg(F.array_sort(F.collect_list(term)).alias("_terms"))
+    packages: dict[str, list[tuple]] = {}
+    for seq, c in enumerate(changes, 1):
+        packages.setdefault(c.package, []).append((seq, c.effective_date, c.old_price, c.new_price))
+    table = spark.createDataFrame(list(packages.items()), f"package_group string, _terms array<{_TERM}>")
+    return F.broadcast(table) if len(changes) <= BROADCAST_CHANGES else table
 
 
-def _terms(changes: Sequence[PriceChange], by_date: bool) -> Column:
-    """The row's package's changes as an array, in list order or by date (ties in list order)."""
-    packages: dict[str, list[tuple[int, PriceChange]]] = {}
-    for seq, change in enumerate(changes, 1):
-        packages.setdefault(change.package, []).append((seq, change))
+def _with_terms(contracts: DataFrame, changes: Changes) -> DataFrame:
+    """Contracts plus ``_terms``, the changes of their package in list order; none is an empty array."""
     none = F.array().cast(f"array<{_TERM}>")
-    if not packages:
-        return none
-    entries = []
-    for package, own in packages.items():
-        if by_date:
-            own = sorted(own, key=lambda pair: (pair[1].effective_date, pair[0]))
-        terms = [
-            F.struct(
-                F.lit(seq).alias("seq"),
-                F.lit(c.effective_date).alias("eff"),
-                F.lit(c.old_price).cast(PRICE).alias("old"),
-                F.lit(c.new_price).cast(PRICE).alias("new"),
-            )
-            for seq, c in own
-        ]
-        entries += [F.lit(package), F.array(*terms)]
-    return F.coalesce(F.try_element_at(F.create_map(*entries), F.col("package_group")), none)
+    if not isinstance(changes, DataFrame) and not changes:
+        return contracts.withColumn("_terms", none)
+    joined = contracts.join(_per_package(contracts.sparkSession, changes), "package_group", "left")
+    return joined.select(*[contracts[c] for c in contracts.columns], F.coalesce("_terms", none).alias("_terms"))
 
 
-def apply_price_changes(contracts: DataFrame, changes: Sequence[PriceChange]) -> DataFrame:
-    """Reprice contracts that start on or after a change's date at its old price.
+def _by_date() -> Column:
+    """``_terms`` by date, those of a day in list order."""
+    dated = F.transform("_terms", lambda t: F.struct(t.eff.alias("eff"), t.seq.alias("seq"), t.old.alias("old"), t.new.alias("new")))
+    return F.transform(F.array_sort(dated), lambda t: F.struct(t.seq.alias("seq"), t.eff.alias("eff"), t.old.alias("old"), t.new.alias("new")))
 
-    Changes apply one after the other in list order, so a later one sees the earlier one's price.
-    """
-    price = F.aggregate(
-        _terms(changes, by_date=False),
+
+def _repriced() -> Column:
+    return F.aggregate(
+        F.col("_terms"),
         F.col("price").cast(PRICE),
         lambda now, t: F.when(
             (F.col("start_date") >= t.eff) & (now == t.old), t.new
         ).otherwise(now),
     )
-    return contracts.withColumn("price", price)
+
+
+def apply_price_changes(contracts: DataFrame, changes: Changes) -> DataFrame:
+    """Reprice contracts that start on or after a change's date at its old price.
+
+    Changes apply one after the other in list order, so a later one sees the earlier one's price.
+    """
+    return _with_terms(contracts, changes).withColumn("price", _repriced()).drop("_terms")
 
 
 def _inside(eff: Column, split_open: str) -> Column:
@@ -112,9 +124,9 @@ def _inside(eff: Column, split_open: str) -> Column:
     return F.coalesce((start < eff) & before_end, F.lit(False))
 
 
-def _cuts(changes: Sequence[PriceChange], split_open: str, chain: bool) -> Column:
+def _cuts(split_open: str, chain: bool) -> Column:
     """The changes that cut a contract, in date order; the last of several on one day counts."""
-    terms = _terms(changes, by_date=True)
+    terms = _by_date()
     if not chain:
         hits = F.filter(
             terms, lambda t: (t.old == F.col("price")) & _inside(t.eff, split_open)
@@ -148,7 +160,7 @@ def _one_per_day(hits: Column) -> Column:
 
 def split_contracts(
     contracts: DataFrame,
-    changes: Sequence[PriceChange],
+    changes: Changes,
     split_open: str = "never",
     chain: bool = False,
     rekey: bool = False,
@@ -158,7 +170,11 @@ def split_contracts(
     Without ``chain`` only changes of the contract's original price count. All other columns, time
     keys included, are copied to every period unless ``rekey``.
     """
-    cut = contracts.withColumn("_hits", _cuts(changes, split_open, chain)).withColumn(
+    return _split(_with_terms(contracts, changes), contracts.columns, split_open, chain, rekey)
+
+
+def _split(held: DataFrame, columns: Sequence[str], split_open: str, chain: bool, rekey: bool) -> DataFrame:
+    cut = held.withColumn("_hits", _cuts(split_open, chain)).withColumn(
         "_cuts", _one_per_day(F.col("_hits"))
     )
     cuts = F.col("_cuts")
@@ -181,7 +197,7 @@ def split_contracts(
     out = periods.select(
         *[
             F.col(f"_period.{c}").alias(c) if c in replaced else F.col(c)
-            for c in contracts.columns
+            for c in columns
         ]
     )
     if rekey:
@@ -193,97 +209,96 @@ def split_contracts(
 
 def reprice(
     contracts: DataFrame,
-    changes: Sequence[PriceChange],
+    changes: Changes,
     split_open: str = "never",
     chain: bool = False,
     rekey: bool = False,
 ) -> DataFrame:
     """New contracts first, then the running ones."""
-    repriced = apply_price_changes(contracts, changes)
-    return split_contracts(repriced, changes, split_open, chain, rekey)
+    held = _with_terms(contracts, changes).withColumn("price", _repriced())
+    return _split(held, contracts.columns, split_open, chain, rekey)
+
+
+_COUNTERS = ("package_matches", "date_matches", "price_matches", "contracts_repriced", "contracts_cut")
+
+
+def _event(kind: str, key: Column, at: Column, delta: int) -> Column:
+    return F.struct(
+        F.lit(kind).alias("kind"), key.cast("string").alias("key"), at.cast("long").alias("at"), F.lit(delta).cast("long").alias("delta")
+    )
+
+
+def _events(held: DataFrame, split_open: str, chain: bool) -> DataFrame:
+    """``(kind, key, at, delta)``, summed: what each contract adds to the counters of changes.
+
+    A counter of a change is the sum of its kind and key up to its place. Starts count backwards, so
+    a date's place follows all later starts. A price is held from the change that sets it to the one
+    that replaces it; a change still sees the price it replaces.
+    """
+    walked = F.aggregate(
+        F.col("_terms"),
+        F.struct(F.col("price").cast(PRICE).alias("now"), F.array().cast(f"array<{_TERM}>").alias("hits")),
+        lambda acc, t: F.when(
+            (F.col("start_date") >= t.eff) & (acc.now == t.old),
+            F.struct(t.new.alias("now"), F.concat(acc.hits, F.array(t)).alias("hits")),
+        ).otherwise(acc),
+    )
+    rows = held.withColumn("_walked", walked)
+    hits = F.col("_walked.hits")
+    first = F.array(
+        _event("package_matches", F.col("package_group"), F.lit(0), 1),
+        _event("date_matches", F.lit(""), -F.unix_date("start_date"), 1),
+        _event("price_matches", F.col("price").cast(PRICE), F.lit(0), 1),
+    )
+    known = F.filter(first, lambda e: e.key.isNotNull() & e["at"].isNotNull())
+    replaced = F.transform(hits, lambda t: _event("price_matches", t.old, t.seq + 1, -1))
+    taken = F.transform(hits, lambda t: _event("price_matches", t.new, t.seq + 1, 1))
+    repriced = F.transform(hits, lambda t: _event("contracts_repriced", t.seq, F.lit(0), 1))
+    # cuts are looked for in the price the contract ends with
+    rows = rows.select("_terms", "start_date", "end_date", F.col("_walked.now").alias("price"), F.concat(known, replaced, taken, repriced).alias("_events"))
+    cut = F.transform(_cuts(split_open, chain), lambda t: _event("contracts_cut", t.seq, F.lit(0), 1))
+    each = rows.select(F.inline(F.concat("_events", cut)))
+    return each.groupBy("kind", "key", "at").agg(F.sum("delta").alias("delta"))
 
 
 def price_change_impact(
     contracts: DataFrame,
-    changes: Sequence[PriceChange],
+    changes: Changes,
     split_open: str = "never",
     chain: bool = False,
 ) -> DataFrame:
     """Per change: rows matching its package, date and price, rows repriced and contracts cut.
 
-    Prices are matched against the state the preceding changes leave. One aggregation for all.
+    Prices are matched against the state the preceding changes leave. Contracts are read once,
+    however many changes there are; their events are summed before they meet the changes.
     """
-    spark = contracts.sparkSession
-    table = price_change_table(spark, changes)
-    if not changes:
-        return table.selectExpr(
-            "*",
-            "0L package_matches",
-            "0L date_matches",
-            "0L price_matches",
-            "0L contracts_repriced",
-            "0L contracts_cut",
-        )
-    state = contracts
-    counters = {}
-    for i, c in enumerate(changes, 1):
-        package = F.col("package_group") == c.package
-        date = F.col("start_date") >= F.lit(c.effective_date)
-        price = F.col("price") == F.lit(c.old_price).cast(PRICE)
-        state = state.withColumns(
-            {
-                f"_package_{i}": package,
-                f"_date_{i}": date,
-                f"_price_{i}": price,
-                "price": F.when(package & date & price, F.lit(c.new_price).cast(PRICE)).otherwise(
-                    F.col("price")
-                ),
-            }
-        )
-        counters |= {
-            f"package_matches_{i}": F.count_if(F.col(f"_package_{i}")),
-            f"date_matches_{i}": F.count_if(F.col(f"_date_{i}")),
-            f"price_matches_{i}": F.count_if(F.col(f"_price_{i}")),
-            f"contracts_repriced_{i}": F.count_if(
-                F.col(f"_package_{i}") & F.col(f"_date_{i}") & F.col(f"_price_{i}")
-            ),
-            f"contracts_cut_{i}": F.count_if(F.array_contains("_seqs", i)),
-        }
-    state = state.withColumn(
-        "_seqs", F.transform(_cuts(changes, split_open, chain), lambda t: t.seq)
-    )
-    totals = state.agg(*[agg.alias(name) for name, agg in counters.items()])
-    names = [
-        "package_matches",
-        "date_matches",
-        "price_matches",
-        "contracts_repriced",
-        "contracts_cut",
-    ]
-    per_change = totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("seq"), *[F.col(f"{n}_{i}").alias(n) for n in names]
-                    )
-                    for i in range(1, len(changes) + 1)
-                ]
-            )
-        )
+    table = as_table(contracts.sparkSession, changes)
+    asked = F.array(
+        _event("package_matches", F.trim("package"), F.lit(0), 0),
+        _event("date_matches", F.lit(""), -F.unix_date(F.col("effective_date").cast("date")), 0),
+        _event("price_matches", F.col("old_price").cast(PRICE), F.col("seq"), 0),
+        _event("contracts_repriced", F.col("seq"), F.lit(0), 0),
+        _event("contracts_cut", F.col("seq"), F.lit(0), 0),
     )
-    return table.join(per_change, "seq")
+    places = table.select("seq", F.inline(asked))
+    events = _events(_with_terms(contracts, changes), split_open, chain)
+    both = events.withColumn("seq", F.lit(None).cast("int")).unionByName(places)
+    # at most one row per distinct start, price state or change
+    upto = Window.partitionBy("kind", "key").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = both.withColumn("n", F.sum("delta").over(upto)).filter(F.col("seq").isNotNull())
+    counts = sums.groupBy("seq").agg(*[F.max(F.when(F.col("kind") == c, F.col("n"))).alias(c) for c in _COUNTERS])
+    return table.join(counts, "seq")
 
 
 def split_summary(
     contracts: DataFrame,
-    changes: Sequence[PriceChange],
+    changes: Changes,
     split_open: str = "never",
     chain: bool = False,
 ) -> DataFrame:
     """One row: contracts cut, periods made of them, and rows after splitting."""
-    repriced = apply_price_changes(contracts, changes)
-    periods = F.size(_one_per_day(_cuts(changes, split_open, chain))) + 1
+    repriced = _with_terms(contracts, changes).withColumn("price", _repriced())
+    periods = F.size(_one_per_day(_cuts(split_open, chain))) + 1
     return repriced.select(periods.alias("_n")).agg(
         F.count_if(F.col("_n") > 1).alias("contracts_cut"),
         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("periods_created"),

@@ -12,7 +12,7 @@ from waterline.config import TIER_KEYS, RunConfig
 from waterline.operators.cleaning import handle_missing_data
 from waterline.operators.dedupe import exclusivity_conflicts
 from waterline.operators.filters import rejected_starts
-from waterline.operators.pricing import PriceChange, reprice
+from waterline.operators.pricing import Changes, reprice
 from waterline.operators.sites import add_take_rate, site_metrics
 from waterline.operators.unit_revenue import add_parpu, arpu
 from waterline.operators.waterfall import align, arr, waterfall
@@ -66,7 +66,7 @@ def monthly_run(
     contracts: DataFrame,
     sites: DataFrame,
     cfg: RunConfig,
-    changes: Sequence[PriceChange] = (),
+    changes: Changes = (),
     tiers: Sequence[str] | None = None,
     layout: Layout | None = None,
 ) -> MonthlyRun:
@@ -84,12 +84,13 @@ def monthly_run(
     cfg = replace(cfg, tiers={name: segments for name, segments in cfg.tiers.items() if name in wanted})
     rejects = rejected_starts(contracts)
     rows = prepare_contracts(contracts, cfg)
-    if changes:
+    repriced = isinstance(changes, DataFrame) or bool(changes)
+    if repriced:
         rows = reprice(rows, changes, cfg.split_open, cfg.chain_changes, cfg.rekey_splits)
     if layout is None:
         rows = materialise(rows, "contracts")
     else:
-        path = sinks.write_contracts(rows, layout, repriced=bool(changes))
+        path = sinks.write_contracts(rows, layout, repriced=repriced)
         rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     picked = F.col("tier").isin(*wanted)
@@ -97,8 +98,8 @@ def monthly_run(
     combined = materialise(combine(flow, rows, sites, cfg), "combined")
     errors = exclusivity_conflicts(rows)
     if layout is not None:
-        sinks.write_waterfall(flow, layout, bool(changes))
-        sinks.write_combined(combined, layout, bool(changes))
+        sinks.write_waterfall(flow, layout, repriced)
+        sinks.write_combined(combined, layout, repriced)
         sinks.write_exclusivity_errors(errors, layout)
         sinks.write_rejects(rejects, layout)
     return MonthlyRun(rows, errors, flow, combined, arr(combined), rejects)
@@ -109,7 +110,7 @@ def batch_run(
     sites: DataFrame,
     cfg: RunConfig,
     keys: Sequence[int] | None = None,
-    changes: Sequence[PriceChange] = (),
+    changes: Changes = (),
     layout: Layout | None = None,
 ) -> MonthlyRun:
     """:func:`monthly_run` for tiers given by number; all of them by default."""
@@ -123,7 +124,7 @@ def run_from_files(
     cfg: RunConfig,
     layout: Layout,
     keys: Sequence[int] | None = None,
-    changes: Sequence[PriceChange] = (),
+    changes: Changes = (),
     fill_ids: bool = False,
 ) -> MonthlyRun:
     """Everything from raw files to written results, with the monthly tables as CSV per tier too."""
@@ -134,6 +135,7 @@ def run_from_files(
     cleaned = spark.read.schema(cleaned.schema).parquet(path)
     run = batch_run(cleaned, read_sites_csv(spark, sites_csv), cfg, keys, changes, layout)
     tiers = select_tiers(cfg, keys)
-    sinks.export_csv(run.waterfall, layout, tiers, bool(changes))
-    sinks.export_csv(run.combined, layout, tiers, bool(changes))
+    repriced = isinstance(changes, DataFrame) or bool(changes)
+    sinks.export_csv(run.waterfall, layout, tiers, repriced)
+    sinks.export_csv(run.combined, layout, tiers, repriced)
     return run

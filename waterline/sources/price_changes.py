@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from waterline.operators.pricing import PriceChange, from_table
 from waterline.schema import PRICE_CHANGE_SCHEMA
 
 
-def read_price_changes(spark: SparkSession, path: str) -> list[PriceChange]:
-    """A CSV ``seq,package,effective_date,old_price,new_price``; a malformed row is an error."""
-    table = (
+def read_price_changes(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV ``seq,package,effective_date,old_price,new_price`` of any length; a malformed row is an error."""
+    return (
         spark.read.schema(PRICE_CHANGE_SCHEMA)
         .option("header", True)
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    return from_table(table)

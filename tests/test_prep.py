@@ -80,7 +80,7 @@ def test_hot_keys_give_the_same_result(spark):
     )
     table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top")).filter("k <> 'k1'")
     plain = rows.join(table.drop("n"), "k", "left").select("k", "v", "top")
-    for settings in ({}, {"hot_rows": 100}, {"hot_rows": 1, "hot_keys": 3}, {"hot_rows": 1}):
+    for settings in ({}, {"partitions": 1}, {"partitions": 3}, {"partitions": 1000}):
         got = skew.attach(rows, table, ["k"], ["top"], "n", **settings)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
@@ -93,7 +93,7 @@ def test_hot_rows_are_dealt_by_slice(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = skew.attach(rows, table, ["k"], ["x"], "n", hot_rows=100)
+        joined = skew.attach(rows, table, ["k"], ["x"], "n")
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -157,7 +157,7 @@ def test_dedupe(contracts):
         ("same start", "P", "2024-01-05", "2024-03-01", "10.00"),
     ]
     assert summary(dedupe.dedupe_overlap(dedupe.dedupe_category(rows))) == got
-    assert summary(dedupe.dedupe_overlap(dedupe.dedupe_category(rows, hot_rows=1))) == got
+    assert summary(dedupe.dedupe_overlap(dedupe.dedupe_category(rows, partitions=1_000_000))) == got
     assert summary(dedupe.dedupe(dedupe.dedupe(rows))) == got
     assert summary(dedupe.dedupe(rows.repartition(7))) == got
     open_first = summary(dedupe.dedupe(rows, open_wins=True))

@@ -77,6 +77,11 @@ def oracle_sql() -> dict[str, str]:
     )
     high, under = f"{HIGH}_net_new_mrr", f"{UNDER}_net_new_mrr"
     return {
+        # six fits of each of three models per tier: all months, and all but a fold; all are to converge
+        "fit_gaps": f"""{base}
+            SELECT model, tier, fold, true AS converged FROM (SELECT DISTINCT tier FROM complete),
+              (SELECT unnest(['ending_mrr', 'net_new_mrr', 'large_segment']) AS model),
+              (SELECT CAST(unnest(range(-1, 5)) AS INTEGER) AS fold)""",
         "calendar_features": f"""{base}
             SELECT tier, month, month_number,
               CAST(quarter(CAST(concat(month, '-01') AS DATE)) AS BIGINT) AS quarter,

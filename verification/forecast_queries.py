@@ -139,7 +139,18 @@ def _segments(spark, sf):
     return forecast(table, ENDING_MRR, 12).growth
 
 
+def _gaps(spark, sf):
+    """Whether each penalised fit, of the models and of every fold, reached its optimum."""
+    table = monthly_table(spark, sf)
+    parts = [
+        forecast(table, model, 12).fits.select(F.lit(model.name).alias("model"), "tier", "fold", "converged")
+        for model in (ENDING_MRR, NET_NEW_MRR, LARGE_SEGMENT)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 QUERIES = {
+    "fit_gaps": _gaps,
     "calendar_features": _calendar,
     "tier_features": _tier_features,
     "quality_ratios": _quality,

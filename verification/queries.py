@@ -262,7 +262,7 @@ QUERIES: dict[str, Query] = {
     "parpu": _parpu,
     "combined_metrics": combined,
     "combined_metrics_repriced": lambda s, d: combined(s, d, repriced=True),
-    "cumulative_arpu": lambda s, d: unit_revenue.cumulative_arpu(deduped(s, d), CONFIG),
+    "cumulative_arpu": lambda s, d: unit_revenue.cumulative_arpu(deduped(s, d), CONFIG, ranked=False),
     "cumulative_arpu_summary": lambda s, d: unit_revenue.cumulative_arpu_summary(
         deduped(s, d), CONFIG
     ),

@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from waterline.forecast.models import Model
-from waterline.forecast.solver import fit_from_moments
+from waterline.forecast.solver import GAP, fit_from_moments
 
 FOLDS = 5
 ALL = -1  # the fold id of the fit on all rows
 REPORTED = 0.01  # coefficients up to this size are left out of the report
 
-_MODEL_SCHEMA = "tier string, fold int, n_train bigint, intercept double, weights array<double>"
+_MODEL_SCHEMA = "tier string, fold int, n_train bigint, intercept double, weights array<double>, gap double, converged boolean"
 
 
 def term_names(model: Model) -> list[str]:
@@ -126,17 +126,18 @@ def _solve(width: int, alpha: float):
             training |= {fold: total - part for fold, part in per_fold.items()}
         out = []
         for fold, m in training.items():
-            intercept, weights = fit_from_moments(m, alpha)
+            intercept, weights, gap = fit_from_moments(m, alpha)
             shifted = intercept + target_centre - float(weights @ centre)
-            out.append((group["tier"].iloc[0], fold, round(m[0, 0]), shifted, weights.tolist()))
-        return pd.DataFrame(out, columns=["tier", "fold", "n_train", "intercept", "weights"])
+            out.append((group["tier"].iloc[0], fold, round(m[0, 0]), shifted, weights.tolist(), gap, gap <= GAP))
+        return pd.DataFrame(out, columns=["tier", "fold", "n_train", "intercept", "weights", "gap", "converged"])
 
     return solve
 
 
 def fit(rows: DataFrame, model: Model) -> DataFrame:
-    """``(tier, fold, n_train, intercept, weights)``: fold -1 is the model, 0..4 leave one out.
+    """``(tier, fold, n_train, intercept, weights, gap, converged)``: fold -1 is the model, 0..4 leave one out.
 
+    ``gap`` bounds how far the objective is from its optimum, as a share of the target's variance.
     Cross-validation fits need no second pass: their sums are the total less the fold's own.
     """
     centres = rows.groupBy("tier").agg(

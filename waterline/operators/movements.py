@@ -106,10 +106,17 @@ def contraction_revenue(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
 
 def churn_revenue(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
     """``(tier, month, churn, churn_count)``: all contracts of an account in its churn month."""
-    churned = add_tiers(contracts.filter("churn_flag = 1"), cfg.tiers)
-    per_account = churned.groupBy(
-        "tier", month_key(F.col("churn_date")).alias("month"), "account_number"
-    ).agg(F.sum(cents(F.col("price"))).alias("cents"))
+    # summed by segment before tiers multiply the rows
+    per_segment = (
+        contracts.filter("churn_flag = 1")
+        .groupBy(month_key(F.col("churn_date")).alias("month"), "account_number", "cxn_code")
+        .agg(F.sum(cents(F.col("price"))).alias("cents"))
+    )
+    per_account = (
+        add_tiers(per_segment, cfg.tiers)
+        .groupBy("tier", "month", "account_number")
+        .agg(F.sum("cents").alias("cents"))
+    )
     return per_account.groupBy("tier", "month").agg(
         dollars(F.sum("cents")).alias("churn"), F.count("*").alias("churn_count")
     )

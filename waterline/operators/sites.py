@@ -28,31 +28,40 @@ def seen_sites(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
 
 
 def _released(sites: DataFrame, cfg: RunConfig) -> DataFrame:
-    """``(tier, site, month, base)``: base of the tier's segments by site and month of release.
-
-    Every site appears in every tier, if only with base 0: opening does not depend on segments.
-    """
-    member = F.array_contains(tiers_of(F.col("cxn_code"), cfg.tiers), F.col("tier"))
-    counted = member & F.col("cxn_code").between(SEGMENTS[0], SEGMENTS[-1])
-    return (
+    """``(site, month, bases)``: base by segment, with the segment's tiers, for each month of release."""
+    tiers = F.when(
+        F.col("cxn_code").between(SEGMENTS[0], SEGMENTS[-1]), tiers_of(F.col("cxn_code"), cfg.tiers)
+    ).otherwise(F.array().cast("array<string>"))
+    per_segment = (
         sites.filter(F.col("site").isNotNull() & F.col("release_date").isNotNull())
-        .select(
+        .groupBy(
             site_id(F.col("site")).alias("site"),
             month_key(F.col("release_date")).alias("month"),
             "cxn_code",
-            "base",
-            F.explode(F.array(*[F.lit(t) for t in cfg.tier_names()])).alias("tier"),
         )
-        .groupBy("tier", "site", "month")
-        .agg(F.sum(F.when(counted, F.col("base")).otherwise(0)).alias("base"))
+        .agg(F.sum("base").cast("bigint").alias("base"))
     )
+    # at most one entry per segment
+    bases = F.collect_list(F.struct(tiers.alias("tiers"), F.coalesce("base", F.lit(0)).alias("base")))
+    return per_segment.groupBy("site", "month").agg(bases.alias("bases"))
 
 
 def site_metrics(contracts: DataFrame, sites: DataFrame, cfg: RunConfig) -> DataFrame:
-    """``(tier, month, site_opens, base)`` by month of release: distinct sites and their base."""
+    """``(tier, month, site_opens, base)`` by month of release: distinct sites and their base.
+
+    A site counts in every tier it was seen in, if only with base 0: opening does not depend on
+    segments. Sites are copied to those tiers only, after their segments are one row.
+    """
+    # at most one entry per tier
+    seen = seen_sites(contracts, cfg).groupBy("site").agg(F.collect_list("tier").alias("tiers"))
+    opened = _released(sites, cfg).join(seen, "site").select("month", "bases", F.explode("tiers").alias("tier"))
+    base = F.aggregate(
+        F.col("bases"),
+        F.lit(0).cast("bigint"),
+        lambda total, b: total + F.when(F.array_contains(b["tiers"], F.col("tier")), b["base"]).otherwise(0),
+    )
     return (
-        _released(sites, cfg)
-        .join(seen_sites(contracts, cfg), ["tier", "site"], "left_semi")
+        opened.select("tier", "month", base.alias("base"))
         .groupBy("tier", "month")
         .agg(F.count("*").alias("site_opens"), F.sum("base").cast("bigint").alias("base"))
     )

@@ -9,6 +9,7 @@ from waterline.config import RunConfig
 from waterline.functions.money import average_cents, cents, dollars, format_currency, ratio
 from waterline.operators.quantiles import exact_quantiles
 from waterline.operators.tiers import add_tiers
+from waterline.sources.staging import materialise
 
 # ratio -> (amount, count)
 PARPU = {
@@ -22,16 +23,24 @@ PARPU = {
 }
 
 
+def _per_account(contracts: DataFrame, cfg: RunConfig, *keys: str) -> DataFrame:
+    """``(tier, *keys, account_number, cents)``: summed by segment before tiers multiply the rows."""
+    per_segment = contracts.groupBy(*keys, "account_number", "cxn_code").agg(
+        F.sum(cents(F.col("price"))).alias("cents")
+    )
+    return (
+        add_tiers(per_segment, cfg.tiers)
+        .groupBy("tier", *keys, "account_number")
+        .agg(F.sum("cents").alias("cents"))
+    )
+
+
 def arpu(contracts: DataFrame, cfg: RunConfig, time_key: str = "month_key") -> DataFrame:
     """``(tier, <time_key>, total_period_activation, unique_accounts, arpu)``.
 
     Summed per account first, which also makes the distinct count a plain count.
     """
-    per_account = (
-        add_tiers(contracts, cfg.tiers)
-        .groupBy("tier", time_key, "account_number")
-        .agg(F.sum(cents(F.col("price"))).alias("cents"))
-    )
+    per_account = _per_account(contracts, cfg, time_key)
     per_key = per_account.groupBy("tier", time_key).agg(
         F.sum("cents").alias("cents"), F.count("account_number").alias("unique_accounts")
     )
@@ -53,23 +62,23 @@ def add_parpu(monthly: DataFrame, zero_denominator: str = "inf") -> DataFrame:
     )
 
 
-def cumulative_arpu(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
-    """``(tier, account_number, cumulative_arpu)``: all revenue of an account, largest first."""
-    return (
-        add_tiers(contracts, cfg.tiers)
-        .groupBy("tier", "account_number")
-        .agg(dollars(F.sum(cents(F.col("price")))).alias("cumulative_arpu"))
-        .orderBy("tier", F.desc("cumulative_arpu"), "account_number")
+def cumulative_arpu(contracts: DataFrame, cfg: RunConfig, ranked: bool = True) -> DataFrame:
+    """``(tier, account_number, cumulative_arpu)``: all revenue of an account.
+
+    Largest first if ``ranked``, which is a global sort: for reports. Other steps need no order.
+    """
+    listed = _per_account(contracts, cfg).select(
+        "tier", "account_number", dollars(F.col("cents")).alias("cumulative_arpu")
     )
+    return listed.orderBy("tier", F.desc("cumulative_arpu"), "account_number") if ranked else listed
 
 
 def cumulative_arpu_summary(contracts: DataFrame, cfg: RunConfig) -> DataFrame:
-    """One row per tier: number of customers, mean, median, total, extremes, 90th percentile."""
-    accounts = (
-        add_tiers(contracts, cfg.tiers)
-        .groupBy("tier", "account_number")
-        .agg(F.sum(cents(F.col("price"))).alias("cents"))
-    )
+    """One row per tier: number of customers, mean, median, total, extremes, 90th percentile.
+
+    Accounts' sums are written once: the quantiles read them several times.
+    """
+    accounts = materialise(_per_account(contracts, cfg).select("tier", "cents"), "accounts")
     n, total = F.count("*"), F.sum("cents")
     plain = accounts.groupBy("tier").agg(
         n.alias("total_customers"),

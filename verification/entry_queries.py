@@ -15,7 +15,7 @@ from waterline.sources.contracts import canonical_name
 FORMS = ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "yyyyMMdd", "yyyy-M-d", "M/d/yy", "dd-MMM-yy", "M/d/yyyy HH:mm")
 
 
-def _date_text(spark, sf):
+def date_text(spark, sf):
     """Order dates as text, each key in a form of its own; every ninth form is no date."""
     day, form = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % (len(FORMS) + 1)
     text = F.lit("soon")
@@ -25,12 +25,12 @@ def _date_text(spark, sf):
 
 
 def _date_forms(spark, sf):
-    read = _date_text(spark, sf).withColumn("day", F.coalesce(parse_date(F.col("start_date")).cast("string"), F.lit("")))
+    read = date_text(spark, sf).withColumn("day", F.coalesce(parse_date(F.col("start_date")).cast("string"), F.lit("")))
     return read.groupBy("form", "day").agg(F.count("*").alias("n"))
 
 
 def _rejected_rows(spark, sf):
-    return filters.rejected_starts(_date_text(spark, sf)).select("order_key", "start_date")
+    return filters.rejected_starts(date_text(spark, sf)).select("order_key", "start_date")
 
 
 def _site_ids(spark, sf):

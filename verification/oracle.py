@@ -331,7 +331,7 @@ def _cleaned() -> str:
     FROM raw"""
 
 
-def _cleaned_head() -> str:
+def cleaned_head() -> str:
     """Cleaned raw rows in the place of ``contracts``."""
     return f"""{RAW},
 contracts AS (
@@ -374,7 +374,7 @@ def oracle_sql() -> dict[str, str]:
             for c in ("test_flag", "cxn_code", "discount", "tax", "order_key", "part_key")
         ),
         "cleaned_contracts": f"WITH {RAW} {_cleaned()}",
-        "prepared_from_raw": f"WITH {prep(head=_cleaned_head())} SELECT {_TAGGED} FROM deduped",
+        "prepared_from_raw": f"WITH {prep(head=cleaned_head())} SELECT {_TAGGED} FROM deduped",
         "csv_round_trip": f"WITH {CONTRACTS} SELECT {_ROW} FROM opened",
         "wide_sites": f"WITH {SITES} SELECT site, month, CAST(cxn_code AS BIGINT) AS cxn_code,"
         " base FROM site_rows",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +39,7 @@ from waterline.schema import WATERFALL_COLUMNS
 from waterline.sources import sinks
 from waterline.sources.contracts import read_contracts_csv
 from waterline.sources.sites import to_long
-from waterline.sources.staging import materialise, shared_folder
+from waterline.sources.staging import materialise, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,7 +145,7 @@ def _prepared_from_raw(spark, sf):
 def _csv_round_trip(spark, sf):
     """Out as a file with titles and text prices, and back in."""
     rows = contracts(spark, sf)
-    path = f"{shared_folder(spark)}/staged/csv-{uuid.uuid4().hex}"
+    path = scratch(spark, "csv")
     text = sinks.titled(
         rows.withColumn("price", format_currency(F.col("price"))), sinks.CONTRACT_FILE_TITLES
     )
@@ -156,15 +155,18 @@ def _csv_round_trip(spark, sf):
     return back.withColumns({k: F.col(k).cast("bigint") for k in keys})
 
 
-def _wide_sites(spark, sf):
-    """One row per site with a column per segment, as site files hold them, and back."""
-    wide = (
+def wide_sites(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per site with a column per segment, as site files hold them."""
+    return (
         sites(spark, sf)
         .groupBy(F.col("site").alias("Site"), F.col("release_date").alias("Date"))
         .pivot("cxn_code", list(SEGMENTS))
         .agg(F.sum("base"))
     )
-    return to_long(wide).select(
+
+
+def _wide_sites(spark, sf):
+    return to_long(wide_sites(spark, sf)).select(
         "site", month_key(F.col("release_date")).alias("month"), "cxn_code", "base"
     )
 

@@ -30,6 +30,13 @@ def _delete_at_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the staging folder, deleted with whatever it holds when the application ends."""
+    path = f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _delete_at_exit(spark, path)
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a columnar table in the shared folder and read it back.
 
@@ -38,8 +45,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     earlier by ``release``.
     """
     spark = df.sparkSession
-    path = f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _delete_at_exit(spark, path)
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

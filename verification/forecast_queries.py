@@ -32,6 +32,8 @@ COUNTS = Model(
     alpha=0.0,
 )
 TREND_LASSO = replace(TREND, name="trend_lasso", alpha=15.0)
+# What a feature is multiplied by until the projection ends.
+SCENARIO = {"arpu": 1.25, "churn": 0.8}
 # One series per segment instead of per tier.
 SEGMENT_CONFIG = replace(CONFIG, tiers={f"segment_{s:02d}": (s,) for s in SEGMENTS})
 
@@ -48,6 +50,13 @@ def rounded(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
     return df.withColumns({c: F.round(c, special.get(c, digits)) for c in doubles})
 
 
+def significant(df: DataFrame, count: int = 6) -> DataFrame:
+    """The same for numbers of any size: so many significant digits."""
+    doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
+    # adding zero makes a negative zero a plain one
+    return df.withColumns({c: F.format_string(f"%.{count - 1}e", F.col(c) + 0.0).cast("double") for c in doubles})
+
+
 def run(spark: SparkSession, sf: str, model: Model, months: int = 12) -> Forecast:
     return forecast(monthly_table(spark, sf), model, months)
 
@@ -114,13 +123,14 @@ def _trend_projection(spark, sf):
 def _fits(model: Model):
     def query(spark, sf):
         out = run(spark, sf, model).fits
-        return out.select(
+        picked = out.select(
             "tier",
             "fold",
             "n_train",
             "intercept",
             F.posexplode("weights").alias("position", "weight"),
         )
+        return significant(picked, 5)
 
     return query
 
@@ -136,7 +146,7 @@ def _dispatch(spark, sf):
 
 def _segments(spark, sf):
     table = monthly_table(spark, sf, SEGMENT_CONFIG).filter(F.col("tier") != FULL)
-    return forecast(table, ENDING_MRR, 12).growth
+    return significant(forecast(table, ENDING_MRR, 12).growth)
 
 
 def _gaps(spark, sf):
@@ -149,6 +159,11 @@ def _gaps(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _scenario(spark, sf):
+    table = monthly_table(spark, sf)
+    return significant(forecast(table, ENDING_MRR, 12, scenario=SCENARIO).projections)
+
+
 QUERIES = {
     "fit_gaps": _gaps,
     "calendar_features": _calendar,
@@ -170,13 +185,14 @@ QUERIES = {
     "lasso_net_new": _fits(NET_NEW_MRR),
     "lasso_poly2": _fits(LARGE_SEGMENT),
     "ols_baseline": _fits(OLS),
-    "fit_metrics": lambda s, d: run(s, d, ENDING_MRR).performance,
+    "fit_metrics": lambda s, d: significant(run(s, d, ENDING_MRR).performance),
     "coefficient_report": lambda s, d: run(s, d, NET_NEW_MRR).coefficients,
-    "projection": lambda s, d: run(s, d, ENDING_MRR).projections,
+    "projection": lambda s, d: significant(run(s, d, ENDING_MRR).projections),
+    "scenario_projection": _scenario,
     "net_new_projection": lambda s, d: run(s, d, NET_NEW_MRR).projections,
     "large_segment_projection": lambda s, d: run(s, d, LARGE_SEGMENT).projections,
-    "ols_projection": lambda s, d: run(s, d, OLS).projections,
-    "growth_summary": lambda s, d: run(s, d, ENDING_MRR).growth,
+    "ols_projection": lambda s, d: significant(run(s, d, OLS).projections),
+    "growth_summary": lambda s, d: significant(run(s, d, ENDING_MRR).growth),
     "model_dispatch": _dispatch,
     "segment_forecast": _segments,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from verification import entry_queries, forecast_oracle, forecast_queries, oracle, run_queries
+from verification import entry_queries, forecast_oracle, forecast_queries, lasso_oracle, oracle, run_queries
 from verification import queries as core
 
 
@@ -11,4 +11,4 @@ def queries():
 
 
 def oracle_sql():
-    return {**oracle.oracle_sql(), **forecast_oracle.oracle_sql(), **entry_queries.ORACLE, **run_queries.oracle_sql()}
+    return {**oracle.oracle_sql(), **forecast_oracle.oracle_sql(), **lasso_oracle.oracle_sql(), **entry_queries.ORACLE, **run_queries.oracle_sql()}

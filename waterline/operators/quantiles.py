@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from waterline.sources.staging import materialise
+
 SKETCH_ACCURACY = 100_000
 
 
@@ -25,9 +27,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per ``by`` group, one DOUBLE column per named probability.
 
-    Linear interpolation between the two nearest ranks; NULL values are ignored. For few groups
-    (tiers, column names): the tables that describe a group are broadcast, and hold one row per
-    group or per wanted rank.
+    Linear interpolation between the two nearest ranks; NULL values are ignored. The tables that
+    describe a group, with a row per group or per wanted rank, are written, so that their sizes are
+    known: the planner broadcasts them if they are small, and joins by shuffle otherwise.
     """
     by = list(by)
     rows = values.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
@@ -43,9 +45,10 @@ def exact_quantiles(
         F.count("*").alias("_n"),
         F.array_sort(F.percentile_approx("_v", cuts, accuracy)).alias("_cuts"),
     )
+    sketch = materialise(sketch, "sketch")
     # Copies of a value collapse before the shuffle.
     counted = rows.groupBy(*by, "_v").agg(F.count("*").alias("_copies"))
-    placed = counted.join(F.broadcast(sketch.select(*by, "_cuts")), by).withColumn(
+    placed = counted.join(sketch.select(*by, "_cuts"), by).withColumn(
         "_interval",
         F.aggregate(
             "_cuts", F.lit(0), lambda acc, cut: acc + (cut < F.col("_v")).cast("int")
@@ -84,9 +87,10 @@ def exact_quantiles(
     asked = located.groupBy(*by, "_interval", "_before").agg(
         F.collect_set("_rank").alias("_ranks")
     )
+    asked = materialise(asked, "asked")
     inside = Window.partitionBy(*by, "_interval").orderBy("_v")
     ranked = (
-        placed.join(F.broadcast(asked), [*by, "_interval"])
+        placed.join(asked, [*by, "_interval"])
         .withColumn("_end", F.col("_before") + F.sum("_copies").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_copies"))
         .select(*by, "_v", "_start", "_end", F.explode("_ranks").alias("_rank"))

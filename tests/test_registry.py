@@ -8,7 +8,7 @@ CHECKED = [
     "medians", "cleaned_contracts", "prepared_from_raw", "csv_round_trip", "wide_sites", "dedupe_category", "deduped_contracts", "exclusivity_check",
     "split_contracts", "price_change_impact", "mrr_start_new_early", "combined_metrics_repriced",
     "cumulative_arpu_summary", "quality_ratios", "gram_stats", "trend_quality",
-    "batch_run", "monthly_csv", "filtered_sink", "rejects_sink", "finite_values", "open_ends", "undated_churn",
+    "rejects_sink", "finite_values", "open_ends", "undated_churn",
 ]
 
 

@@ -348,3 +348,23 @@ def test_pipeline_stages(odd, spark, tmp_path):
             out.write.parquet(path)
             docs = spark.read.parquet(path)
     assert out.count() > 0
+
+
+def found_spans(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.spans for r in pii.find_documents(docs).collect()}
+
+
+def test_contexts_of_plain_words_find_what_the_expressions_miss(spark):
+    rows = [(i, f"{w} then call me on +1 (743) 555-38{i:02d}, {w}") for i, w in enumerate("abcdefghijklmnopqrst")]
+    rows += [(30 + i, f"the +1 (743) 555-39{i:02d} the") for i in range(9)]
+    rows += [(50, "we call me on 743.555.1234, ok"), (51, "in the 2024 the end"), (52, "the " + " the ".join(f"word{'x' * i}" for i in range(40)))]
+    got = found_spans(spark, rows)
+    assert got[50] == "phone:14:26" and got[51] == "" and got[52] == ""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pii.mask_documents(docs).collect()}[50] == "we call me on [PHONE], ok"
+
+
+def test_words_beside_a_context_count_against_it():
+    pool = {"<on": {"<on", "<me on"}, ">or": {">or"}}
+    assert pii.slot_words("Call me on monday or on 743.555.1234 or x@y or bob", pool) == {("<on", "monday"), ("<me on", "monday"), (">or", "monday")}

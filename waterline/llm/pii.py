@@ -1,10 +1,11 @@
 """Personal data: fixed patterns as seeds, and contexts learnt from them.
 
-The seeds are found by four expressions. A cue is what stands right before an identifier and
-announces it: a word that ends in ``:``, ``=`` or ``#``, with an opening quote perhaps. Cues and the
-tokens that follow them make a graph, whose edges Spark scores in turns: a cue is as good as the
-mean of its tokens, a token as good as its cues together, seeds are certain. Cues that stay good
-give identifiers the expressions miss.
+The seeds are found by four expressions. A cue is what stands beside an identifier and announces it:
+a word that ends in ``:``, ``=`` or ``#``, with an opening quote perhaps, or the one to three words or
+marks to the left or to the right of it. Cues and the tokens beside them make a graph, whose edges
+Spark scores in turns: a cue is as good as the mean of its tokens, a token as good as its cues
+together, seeds are certain. Cues that stay good give identifiers the expressions miss, which make
+further cues good.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 # A cue must announce so many different seeds, and score so high, before it is believed.
 LEAST_SEEDS, LEAST_SCORE = 5, 0.8
+# Shorter tokens are no identifiers.
+LEAST_LENGTH = 4
 
 # Possessive runs and the look-behind only spare repeated attempts that cannot succeed.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -32,6 +35,13 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _CUE = re.compile(r"([^\W_][\w-]{0,39})[\x20\t]{0,3}([:=#])[\x20\t]{0,3}[\"'(<]?([^\s\"'<>()]{1,80})")
+_RUN = re.compile(r"[^\s\"'<>()]+")
+_OPEN = re.compile(r"(?<![^\s\"'<>()])[^\s\"'<>()0-9@]*+[0-9@][^\s\"'<>()]*+")
+_WORD = re.compile(r"\w+|[^\w\s]")
+_DIGITS = re.compile(r"[0-9]+")
+_LIKELY = re.compile(r"[0-9@]")
+# Words or marks of a context, and how far from an identifier they are looked for.
+CONTEXT, REACH = 3, 256
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -73,25 +83,105 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def cue_rows(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int, int]]:
-    """(cue, token, kind or -1, start, end) of each token that a cue announces.
+def _value(text: str, start: int, end: int) -> tuple[int, int, int, int]:
+    """Start and end of the announced token, then of the number it begins."""
+    run = text[start:end]
+    stop = end - len(run) + len(run.rstrip(".,;:!?"))
+    return start, stop, start, stop
 
-    A seed that starts there is the token, with its kind. Tokens that touch another seed are left
-    out: that part of the text is settled.
+
+def _normal(words: list[str]) -> list[str]:
+    return [_DIGITS.sub("0", w.lower()) for w in words]
+
+
+def _contexts(text: str, start: int, end: int) -> list[str]:
+    """The contexts of a place: ``<`` and the words before it, ``>`` and the words after it."""
+    low, high = max(0, start - REACH), min(len(text), end + REACH)
+    before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or not low]
+    after = []
+    for m in _WORD.finditer(text, end, high):
+        if len(after) == CONTEXT or m.end() == high < len(text):
+            break
+        after.append(m[0])
+    left, right = _normal([m[0] for m in before[-CONTEXT:]]), _normal(after)
+    return [*("<" + " ".join(left[-n:]) for n in range(1, len(left) + 1)), *(">" + " ".join(right[:n]) for n in range(1, len(right) + 1))]
+
+
+def cue_rows(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, bool, str, int, int, int]]:
+    """(cue, number, token, kind or -1, start, end) of each token beside a cue.
+
+    Each is there as a token and as a number, which may be longer. A seed is the token, with its
+    kind. Tokens that touch another seed are left out: that part of the text is settled. A word with
+    a mark announces any token, a context those that could be identifiers.
     """
     starts = {s: (k, e) for k, s, e in reversed(spans)}
     covered = sorted((s, e) for _, s, e in spans)
-    rows, at = [], 0
+    rows = []
+
+    def forms(start: int, end: int, at: int) -> tuple[int, list[tuple[int, int] | None]]:
+        """Place in ``covered``, and token and number where no seed is touched."""
+        first, stop, wide, far = _value(text, start, end)
+        while at < len(covered) and covered[at][1] <= first:
+            at += 1
+        following = covered[at][0] if at < len(covered) else len(text)
+        if following < stop:
+            return at, [None, None]
+        return at, [(first, stop), (wide, far) if following >= far else (first, stop)]
+
+    at = 0
     for match in _CUE.finditer(text):
         start, end = match.span(3)
-        end -= len(match[3]) - len(match[3].rstrip(".,;:!?"))
-        kind, end = starts.get(start, (-1, end))
-        while at < len(covered) and covered[at][1] <= start:
-            at += 1
-        if kind < 0 and at < len(covered) and covered[at][0] < end:
+        cue = match[1].lower() + match[2]
+        # a seed may begin with the bracket before the token, never the other way round
+        if start in starts:
+            kind, end = starts[start]
+            rows += [(cue, number, text[start:end].lower(), kind, start, end) for number in (False, True)]
             continue
-        rows.append((match[1].lower() + match[2], text[start:end].lower(), kind, start, end))
-    return rows
+        at, places = forms(start, end, at)
+        rows += [(cue, number, text[p[0] : p[1]].lower(), -1, *p) for number, p in enumerate(places) if p]
+    for kind, start, end in spans:
+        token = text[start:end].lower()
+        rows += [(cue, number, token, kind, start, end) for cue in _contexts(text, start, end) for number in (False, True)]
+    at = settled = 0
+    for match in _OPEN.finditer(text):
+        at, places = forms(*match.span(), at)
+        for number, place in enumerate(places):
+            # the later groups of a number are no numbers of their own
+            if not place or (number and place[0] < settled):
+                continue
+            token = text[place[0] : place[1]].lower()
+            settled = max(settled, place[1]) if number else settled
+            if len(token) >= LEAST_LENGTH and _LIKELY.search(token):
+                rows += [(cue, number, token, -1, *place) for cue in _contexts(text, *place)]
+    return [(cue, bool(number), *rest) for cue, number, *rest in rows]
+
+
+def slot_words(text: str, pool: dict[str, set[str]]) -> set[tuple[str, str]]:
+    """(context, word) of the words beside a context of the pool that could not be identifiers.
+
+    ``pool`` has the contexts by ``<`` or ``>`` and their word next to the identifier.
+    """
+    found = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(text)]
+    words = _normal([w for _, _, w in found])
+    out = set()
+    for i, word in enumerate(words):
+        for side, step in (("<", 1), (">", -1)):
+            contexts = pool.get(side + word)
+            if not contexts or not 0 <= i + step < len(words):
+                continue
+            start, end, beside = found[i + step]
+            if not beside[0].isalnum():
+                continue
+            while start and _RUN.match(text[start - 1]):
+                start -= 1
+            if _LIKELY.search(_RUN.match(text, start)[0]):
+                continue
+            for n in range(1, CONTEXT + 1):
+                near = words[max(0, i - n + 1) : i + 1] if step > 0 else words[i : i + n]
+                context = side + " ".join(near)
+                if len(near) == n and context in contexts:
+                    out.add((context, words[i + step]))
+    return out
 
 
 def show(spans: Iterable[tuple[int, int, int]]) -> str:
@@ -99,7 +189,8 @@ def show(spans: Iterable[tuple[int, int, int]]) -> str:
 
 
 def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cue = pa.struct([("cue", pa.string()), ("token", pa.string()), ("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())])
+    names = ("cue", "number", "token", "kind", "start", "stop")
+    cue = pa.struct(list(zip(names, (pa.string(), pa.bool_(), pa.string(), pa.int32(), pa.int32(), pa.int32()), strict=True)))
     span = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())])
     for batch in batches:
         base, cues = [], []
@@ -107,67 +198,111 @@ def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             body = text.as_py() or ""
             spans = base_spans(body)
             base.append([dict(zip(("kind", "start", "stop"), s, strict=True)) for s in spans])
-            cues.append([dict(zip(("cue", "token", "kind", "start", "stop"), c, strict=True)) for c in cue_rows(body, spans)])
+            cues.append([dict(zip(names, c, strict=True)) for c in cue_rows(body, spans)])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.list_(span)), pa.array(cues, pa.list_(cue))], names=["key", "base", "cues"])
 
 
 def scan(docs: DataFrame, key: Column) -> DataFrame:
-    """``(key, base, cues)`` of every row: seeds and announced tokens of the whole text."""
+    """``(key, base, cues)`` of every row: seeds and the tokens beside cues in the whole text."""
     prepare(docs.sparkSession)
     rows = docs.select(key.alias("key"), F.col("text").cast("string").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     spans = "array<struct<kind:int,start:int,stop:int>>"
-    cues = "array<struct<cue:string,token:string,kind:int,start:int,stop:int>>"
+    cues = "array<struct<cue:string,number:boolean,token:string,kind:int,start:int,stop:int>>"
     return rows.mapInArrow(_scan, f"key {kind}, base {spans}, cues {cues}")
 
 
 def identifier(token: Column) -> Column:
     """Whether a token could be an identifier at all."""
-    return token.rlike("[0-9@]") & (F.length(token) >= 4)
+    return token.rlike("[0-9@]") & (F.length(token) >= LEAST_LENGTH)
 
 
-def cue_scores(cues: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(cue, kind, score, seeds)`` of the cues in ``cues(cue, token, kind)``.
+def _is_context(cue: Column) -> Column:
+    return F.substring(cue, 1, 1).isin("<", ">")
 
-    Edges are counted once per cue and token. A token that is a seed scores 1 for its kind. A cue's
-    score for a kind is the mean over its tokens; another token's is ``1 - product(1 - cue score)``
-    over its cues if it could be an identifier.
+
+def _good() -> Column:
+    return (F.col("instances") >= LEAST_SEEDS) & (F.col("score") >= LEAST_SCORE)
+
+
+def edges_of(cues: DataFrame) -> DataFrame:
+    """``(cue, number, token, kind, open)``, once per cue and token."""
+    edges = cues.groupBy("cue", "number", "token").agg(F.max("kind").alias("kind"))
+    return edges.withColumn("open", (F.col("kind") < 0) & identifier(F.col("token")))
+
+
+def cue_scores(edges: DataFrame, others: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """``(cue, number, kind, score, instances)`` of the cues in ``edges``.
+
+    ``others(cue, others)`` counts tokens of a cue that are not in ``edges``. A token that is a seed
+    scores 1 for its kind. A cue's score for a kind is the mean over its tokens; another token's is
+    ``1 - product(1 - cue score)`` over its cues if it could be an identifier, where contexts count
+    only once they are good. Instances are the seeds and the tokens beside good cues. There are
+    ``rounds`` rounds, and more while they make further cues good.
     """
-    edges = cues.groupBy("cue", "token").agg(F.max("kind").alias("kind"))
-    edges = materialise(edges.withColumn("open", (F.col("kind") < 0) & identifier(F.col("token"))), "edges")
-    sizes = edges.groupBy("cue").agg(F.count("*").alias("tokens"))
-    seeds = edges.filter("kind >= 0").groupBy("cue", "kind").agg(F.count("*").alias("seeds"))
-    scores = seeds.join(sizes, "cue").withColumn("score", F.col("seeds") / F.col("tokens"))
-    for _ in range(rounds):
-        cue_score = scores.select("cue", F.col("kind").alias("as"), "score")
-        token_score = (
-            edges.filter("open")
-            .join(cue_score, "cue")
-            .groupBy("token", "as")
+    by = ["cue", "number"]
+    sizes = edges.groupBy(*by).agg(F.count("*").alias("tokens"))
+    if others is not None:
+        sizes = sizes.join(others, "cue", "left").select(*by, (F.col("tokens") + F.coalesce("others", F.lit(0))).alias("tokens"))
+    # addresses are tokens, cards and phones are numbers
+    seeds = edges.filter("kind >= 0 and number = (kind >= 2)").groupBy(*by, "kind").agg(F.count("*").alias("instances"))
+    seeds = seeds.withColumn("believed", F.col("instances").cast("double"))
+    open_edges = edges.filter("open").select(*by, "token")
+
+    def scored(sums: DataFrame) -> DataFrame:
+        rows = sums.join(sizes, by).select(*by, "kind", (F.col("believed") / F.col("tokens")).alias("score"), "instances")
+        return materialise(rows, "cue_scores")
+
+    scores, good, done = scored(seeds), 0, 0
+    while True:
+        before, good = good, scores.filter(_good()).count()
+        if done >= rounds and good <= before:
+            return scores
+        believed = (
+            open_edges.join(scores.filter(_good() | ~_is_context(F.col("cue"))).select(*by, "kind", "score", _good().alias("good")), by)
+            .groupBy("token", "number", "kind")
             # the sum of logarithms is the product; a certain cue makes a certain token
-            .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-12)))))).alias("believed"))
+            .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-12)))))).alias("believed"), F.bool_or("good").alias("found"))
         )
-        gained = edges.filter("open").select("cue", "token").join(token_score, "token").groupBy("cue", F.col("as").alias("kind")).agg(F.sum("believed").alias("believed"))
-        scores = (
-            seeds.join(sizes, "cue")
-            .join(gained, ["cue", "kind"], "left")
-            .withColumn("score", (F.col("seeds") + F.coalesce(F.col("believed"), F.lit(0.0))) / F.col("tokens"))
-            .drop("believed")
-        )
-        scores = materialise(scores, "cue_scores")
-    return scores.select("cue", "kind", "score", "seeds")
+        gained = open_edges.join(believed, ["token", "number"]).groupBy(*by, "kind")
+        gained = gained.agg(F.count_if("found").alias("instances"), F.sum("believed").alias("believed"))
+        both = seeds.join(gained.select(*by, "kind", F.col("believed").alias("more")), [*by, "kind"], "left").select(*by, "kind", "instances", (F.col("believed") + F.coalesce("more", F.lit(0.0))).alias("believed"))
+        scores, done = scored(both), done + 1
+
+
+def _others(texts: DataFrame, contexts: list[str]) -> DataFrame:
+    """``(cue, others)``: the different words beside each context that could not be identifiers."""
+    pool: dict[str, set[str]] = {}
+    for context in contexts:
+        words = context[1:].split(" ")
+        pool.setdefault(context[0] + words[-1 if context[0] == "<" else 0], set()).add(context)
+
+    def beside(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = sorted(set().union(*(slot_words(text.as_py() or "", pool) for text in batch.column(0))))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["cue", "word"])
+
+    words = texts.mapInArrow(beside, "cue string, word string").distinct()
+    return materialise(words.groupBy("cue").agg(F.count("*").alias("others")), "others")
 
 
-def discovered(scanned: DataFrame) -> DataFrame:
+def discovered(scanned: DataFrame, texts: DataFrame) -> DataFrame:
     """``(key, added)``: spans that good cues announce and no expression found.
 
-    Of two kinds that claim one token, the better scored wins, then the earlier kind.
+    Contexts that are good among possible identifiers are held against all words of ``texts(text)``
+    beside them. Of two kinds that claim one token, the better scored wins, then the earlier kind.
     """
     cues = scanned.select("key", F.explode("cues").alias("c")).select("key", "c.*")
-    good = cue_scores(cues).filter((F.col("seeds") >= LEAST_SEEDS) & (F.col("score") >= LEAST_SCORE))
-    good = good.groupBy("cue").agg(F.min(F.struct(-F.col("score"), F.col("kind").alias("as"))).alias("best"))
+    edges = materialise(edges_of(cues), "edges")
+    scores = cue_scores(edges)
+    contexts = [r["cue"] for r in scores.filter(_good() & _is_context(F.col("cue"))).select("cue").distinct().collect()]
+    if contexts:
+        scores = cue_scores(edges, _others(texts, contexts))
+    good = scores.filter(_good()).groupBy("cue").agg(F.min(F.struct(-F.col("score"), F.col("kind").alias("as"))).alias("best"))
+    good = good.withColumn("number", F.col("best.as") >= 2)
     tokens = cues.filter((F.col("kind") < 0) & identifier(F.col("token"))).drop("kind")
-    hits = tokens.join(good, "cue").select("key", F.struct(F.col("best.as").alias("kind"), "start", "stop").alias("span"))
+    hits = tokens.join(good, ["cue", "number"]).groupBy("key", "start", "stop").agg(F.min("best").alias("best"))
+    hits = hits.select("key", F.struct(F.col("best.as").alias("kind"), "start", "stop").alias("span"))
     return hits.groupBy("key").agg(F.collect_set("span").alias("added"))
 
 
@@ -186,7 +321,8 @@ def find_documents(docs: DataFrame) -> DataFrame:
     """
     numbered = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col("doc_id")).alias("key"), "text")
     scanned = materialise(scan(numbered, F.col("key")).select("key.*", "base", "cues"), "spans")
-    added = discovered(scanned.select(F.col("row").alias("key"), "cues").filter(F.size("cues") > 0)).withColumnRenamed("key", "row")
+    announced = scanned.select(F.col("row").alias("key"), "cues").filter(F.size("cues") > 0)
+    added = discovered(announced, docs.select(F.col("text").cast("string").alias("text"))).withColumnRenamed("key", "row")
     out = scanned.select("row", "doc_id", "base").join(added, "row", "left")
 
     def count(kind: int) -> Column:
@@ -217,7 +353,7 @@ def mask_documents(docs: DataFrame) -> DataFrame:
     numbered = docs.select(F.struct(*[docs[n] for n in names]).alias("row"), F.monotonically_increasing_id().alias("key"))
     numbered = materialise(numbered, "numbered")
     scanned = materialise(scan(numbered.select("key", F.col("row.text").alias("text")), F.col("key")).filter("size(base) + size(cues) > 0"), "spans")
-    added = discovered(scanned.filter(F.size("cues") > 0))
+    added = discovered(scanned.filter(F.size("cues") > 0), numbered.select(F.col("row.text").cast("string").alias("text")))
     spans = scanned.select("key", "base").join(added, "key", "left")
     every = F.array_union("base", F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,stop:int>>")))
     spans = spans.select("key", every.alias("spans")).filter(F.size("spans") > 0)

@@ -368,3 +368,16 @@ def test_contexts_of_plain_words_find_what_the_expressions_miss(spark):
 def test_words_beside_a_context_count_against_it():
     pool = {"<on": {"<on", "<me on"}, ">or": {">or"}}
     assert pii.slot_words("Call me on monday or on 743.555.1234 or x@y or bob", pool) == {("<on", "monday"), ("<me on", "monday"), (">or", "monday")}
+
+
+def test_discovered_identifiers_make_further_cues(spark):
+    rows = [(i, f"{w} Phone: +1 (743) 555-38{i:02d} {w}") for i, w in enumerate("abcdefghijklmnopqrstuvwxyzäöüß")]
+    rows += [(100 + i, f"{w} Phone: 743.555.12{i:02d} {w}") for i, w in enumerate("abcdef")]
+    rows += [(200 + i, f"{w}{w} Mobile: 743.555.12{i:02d} {w}{w}") for i, w in enumerate("abcdef")]
+    # a colon alone announces nothing
+    rows += [(1000 + i, f"{w} note: plain{w} {w}") for i, w in enumerate("abcdefghijklmnopqrstuvwxyzäöüß")]
+    got = found_spans(spark, [*rows, (300, "xy Mobile: 743.555.1299 xy")])
+    assert got[100] == "phone:9:21" and got[300] == "phone:11:23"
+    # four different numbers are not enough
+    few = [r for r in rows if r[0] < 104 or 200 <= r[0] < 204 or r[0] >= 1000]
+    assert found_spans(spark, [*few, (300, "xy Mobile: 743.555.1299 xy")])[300] == ""

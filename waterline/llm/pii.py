@@ -266,7 +266,7 @@ def cue_scores(edges: DataFrame, others: DataFrame | None = None, rounds: int =
         )
         gained = open_edges.join(believed, ["token", "number"]).groupBy(*by, "kind")
         gained = gained.agg(F.count_if("found").alias("instances"), F.sum("believed").alias("believed"))
-        both = seeds.join(gained.select(*by, "kind", F.col("believed").alias("more")), [*by, "kind"], "left").select(*by, "kind", "instances", (F.col("believed") + F.coalesce("more", F.lit(0.0))).alias("believed"))
+        both = seeds.unionByName(gained).groupBy(*by, "kind").agg(F.sum("instances").alias("instances"), F.sum("believed").alias("believed"))
         scores, done = scored(both), done + 1
 
 

@@ -381,3 +381,14 @@ def test_discovered_identifiers_make_further_cues(spark):
     # four different numbers are not enough
     few = [r for r in rows if r[0] < 104 or 200 <= r[0] < 204 or r[0] >= 1000]
     assert found_spans(spark, [*few, (300, "xy Mobile: 743.555.1299 xy")])[300] == ""
+
+
+def test_cues_announce_whole_values(spark):
+    rows = [(i, f"{w} Tel: +1 (743) 555-38{i:02d} {w}") for i, w in enumerate("abcdefghijklmnopqrstuvwxyzäöüß")]
+    rows += [(200 + i, f"{w} Mail: {w}{w}@x.org {w}") for i, w in enumerate("abcdefghijklmnopqrst")]
+    values = {50: "0171 555 0100", 51: "(030) 1234 567", 52: "0171-555 0100", 53: "0" * 100, 54: "(0171) 555.01 00"}
+    rows += [(i, f"q{i} Tel: {v}, so") for i, v in values.items()]
+    rows += [(60, "see (Tel: 0171 555 0111) 5 times"), (61, "q Tel: 0171 555 0122 2nd floor"), (70, f"q Mail: {'y' * 100}@host 5")]
+    got = found_spans(spark, rows)
+    assert all(got[i] == f"phone:9:{9 + len(v)}" for i, v in values.items())
+    assert got[60] == "phone:10:23" and got[61] == "phone:7:20" and got[70] == "email:8:113"

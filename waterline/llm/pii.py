@@ -34,9 +34,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
-_CUE = re.compile(r"([^\W_][\w-]{0,39})[\x20\t]{0,3}([:=#])[\x20\t]{0,3}[\"'(<]?([^\s\"'<>()]{1,80})")
+_CUE = re.compile(r"([^\W_][\w-]{0,39})[\x20\t]{0,3}([:=#])[\x20\t]{0,3}[\"'(<]?([^\s\"'<>()]+)")
 _RUN = re.compile(r"[^\s\"'<>()]+")
 _OPEN = re.compile(r"(?<![^\s\"'<>()])[^\s\"'<>()0-9@]*+[0-9@][^\s\"'<>()]*+")
+# Groups of digits, bracketed perhaps, with single spaces, dots, hyphens or slashes between them.
+_NUMBER = re.compile(r"\+?(?:\([0-9]++\)|[0-9]++)(?:(?:[\x20\xa0./-]|\x20-\x20)?(?:\([0-9]++\)|[0-9]++))*(?![\w@])")
 _WORD = re.compile(r"\w+|[^\w\s]")
 _DIGITS = re.compile(r"[0-9]+")
 _LIKELY = re.compile(r"[0-9@]")
@@ -84,9 +86,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _value(text: str, start: int, end: int) -> tuple[int, int, int, int]:
-    """Start and end of the announced token, then of the number it begins."""
+    """Start and end of the announced token, then of the number it begins.
+
+    Spaces and brackets belong to a number only, so the kind of a cue decides on which of the two
+    it announces: cards and phones are numbers, addresses are tokens.
+    """
     run = text[start:end]
     stop = end - len(run) + len(run.rstrip(".,;:!?"))
+    for at in (start - 1, start) if start and text[start - 1] == "(" else (start,):
+        number = _NUMBER.match(text, at)
+        if number and number.end() > stop:
+            return start, stop, at, number.end()
     return start, stop, start, stop
 
 

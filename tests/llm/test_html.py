@@ -30,23 +30,3 @@ def test_boilerplate_blocks_of_an_article_stay_out():
     links = "".join(f'<li><a href="/{i}">Another story {i}</a></li>' for i in range(5))
     got = main_text(page(f'<article>{paragraphs("a", 3)}<div class="ad">Buy</div><div class="related"><h3>More</h3><ul>{links}</ul></div>{paragraphs("b", 2)}</article>'))
     assert "b1" in got and "Buy" not in got and "Another" not in got and "More" not in got
-
-
-def test_all_articles_of_a_page_are_kept():
-    for first, second in ((5, 5), (6, 4), (4, 6)):
-        got = main_text(page(f"<main><article>{paragraphs('a', first)}<p>Short.</p></article><article>{paragraphs('b', second)}</article></main>"))
-        assert got.split("\n") == [f"a{i} {LONG}" for i in range(first)] + ["Short."] + [f"b{i} {LONG}" for i in range(second)]
-
-
-def test_leads_outside_the_content_element_are_kept():
-    lead = f"<h1>The title</h1><p>lead {LONG}</p>"
-    for frame in ("<main>{}<article>{}</article></main>", "<div><div>{}</div><div>{}</div></div>"):
-        got = main_text(page(frame.format(lead, paragraphs("a", 20)))).split("\n")
-        assert got == ["The title", f"lead {LONG}", *(f"a{i} {LONG}" for i in range(20))]
-
-
-def test_unreadable_declarations_do_not_end_the_page():
-    for mark in ("<![foo[x]]>", "<![ endif]>", "<![>", "<![if unclosed>", "<!-- [x] --><![endif]-->"):
-        got = main_text(page(f"<article>{paragraphs('a', 3)}{mark}{paragraphs('b', 3)}</article>")).split("\n")
-        assert [x for x in got if x[0] in "ab" and x.endswith(LONG)] == [f"{c}{i} {LONG}" for c in "ab" for i in range(3)]
-        assert "End" not in got

@@ -44,14 +44,16 @@ BOILERPLATE = re.compile(
     r"|complementary|contentinfo)(?:$|[\s_-])",
     re.I,
 )
+# Of these names, those that articles use for their own parts too: the clusters decide.
+AMBIGUOUS = re.compile(r"(?:^|[\s_-])(?:header|search|related|share|sharing|social|alert|notices?)(?=$|[\s_-])", re.I)
 SIGMA = 1.5
 
 
 class _Line:
-    __slots__ = ("parts", "tags", "links", "path", "heading", "text")
+    __slots__ = ("parts", "tags", "links", "path", "heading", "text", "doubt")
 
-    def __init__(self, path: tuple[int, ...], heading: bool):
-        self.parts, self.tags, self.links, self.path, self.heading, self.text = [], 1, 0, path, heading, ""
+    def __init__(self, path: tuple[int, ...], heading: bool, doubt: int | None):
+        self.parts, self.tags, self.links, self.path, self.heading, self.text, self.doubt = [], 1, 0, path, heading, "", doubt
 
 
 class LineParser(HTMLParser):
@@ -60,17 +62,21 @@ class LineParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[_Line] = []
-        self._open: list[tuple[str, bool, bool]] = []  # name, hidden, counts as a container
+        self._open: list[tuple[str, bool, bool, bool]] = []  # name, hidden, counts as a container, in doubt by name
         self._path: tuple[int, ...] = ()
         self._names: dict[int, str] = {}
         self._hidden = self._links = self._headings = self._inside = self._headers = 0
+        self._doubts: list[int] = []
+        self._doubted = 0
         self._line: _Line | None = None
 
     def _break(self) -> None:
         self._line = None
 
     def _close(self) -> None:
-        name, hidden, container = self._open.pop()
+        name, hidden, container, doubt = self._open.pop()
+        if doubt:
+            self._doubts.pop()
         self._hidden -= hidden
         self._links -= name == "a"
         self._headings -= name in HEADING
@@ -98,16 +104,24 @@ class LineParser(HTMLParser):
                 if self._open[i][0] in FENCES:
                     break
         hidden = tag in NOT_TEXT or (tag == "header" and not self._inside)
-        if not hidden and tag not in ("html", "body", "article", "main") or tag == "article":
-            names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-            hidden = hidden or bool(names and BOILERPLATE.search(names))
+        doubt = False
+        # headings and inline elements are text whatever their names; anchors name an article's parts
+        if not hidden and tag in BLOCK and tag not in HEADING and tag not in ("html", "body", "main"):
+            read = ("class", "role") if self._inside else ("class", "id", "role")
+            names = " ".join(v for k, v in attrs if k in read and v)
+            if names and BOILERPLATE.search(names):
+                doubt = not BOILERPLATE.search(AMBIGUOUS.sub(" ", names))
+                hidden = not doubt
         hidden = hidden or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         container = tag in CONTAINER
         if container:
             number = len(self._names)
             self._names[number] = tag
             self._path = (*self._path, number)
-        self._open.append((tag, hidden, container))
+        if doubt:
+            self._doubted += 1
+            self._doubts.append(self._doubted)
+        self._open.append((tag, hidden, container, doubt))
         self._hidden += hidden
         self._links += tag == "a"
         self._headings += tag in HEADING
@@ -138,7 +152,7 @@ class LineParser(HTMLParser):
         if self._line is None:
             if data.isspace():
                 return
-            self._line = _Line(self._path, self._headings > 0)
+            self._line = _Line(self._path, self._headings > 0, self._doubts[0] if self._doubts else None)
             self.lines.append(self._line)
         self._line.parts.append(data)
         if self._links:
@@ -171,6 +185,18 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
+def doubted(lines: list[_Line], dense: list[bool]) -> set[int]:
+    """The elements in doubt that are boilerplate: neither dense text nor headed and mostly not links."""
+    whole: dict[int, list[int]] = {}
+    for line, is_dense in zip(lines, dense, strict=True):
+        if line.doubt is not None:
+            sums = whole.setdefault(line.doubt, [0, 0, 0, 0])
+            size = len(line.text)
+            for i, n in enumerate((size, size * is_dense, line.links, line.heading)):
+                sums[i] += n
+    return {n for n, (size, upper, links, headings) in whole.items() if 2 * links >= size or not (2 * upper >= size or headings)}
+
+
 def main_text(html: str) -> str:
     """The article of one page; empty if the page has no text."""
     parser = LineParser()
@@ -189,6 +215,8 @@ def main_text(html: str) -> str:
     ratios = smoothed([max(0, len(x.text) - x.links) / x.tags for x in lines])
     cut = threshold(ratios)
     dense = [ratio >= cut for ratio in ratios]
+    out = doubted(lines, dense)
+    lines, dense = [x for x in lines if x.doubt not in out], [d for x, d in zip(lines, dense, strict=True) if x.doubt not in out]
     held: dict[int, int] = {}
     for line, kept in zip(lines, dense, strict=True):
         if kept:

@@ -3,8 +3,8 @@
 The standard library's parser streams events; a page becomes lines, one per block element, each with
 its characters, tags and link characters. Lines in elements that are boilerplate by name are left
 out at once. The ratio of text to tags per line is smoothed with a Gaussian, a threshold splits the
-lines into two clusters, and the element that holds the upper cluster is the content region: all of
-its lines are kept, short ones too.
+lines into two clusters, and the elements that hold the upper cluster are the content regions: all of
+their lines are kept, short ones too, and elsewhere the lines of the upper cluster.
 """
 
 from __future__ import annotations
@@ -212,9 +212,11 @@ def main_text(html: str) -> str:
             lines.append(line)
     if not lines:
         return ""
-    ratios = smoothed([max(0, len(x.text) - x.links) / x.tags for x in lines])
+    own = [max(0, len(x.text) - x.links) / x.tags for x in lines]
+    ratios = smoothed(own)
     cut = threshold(ratios)
-    dense = [ratio >= cut for ratio in ratios]
+    # a paragraph at an edge is smoothed with what is not there
+    dense = [max(pair) >= cut for pair in zip(ratios, own, strict=True)]
     out = doubted(lines, dense)
     lines, dense = [x for x in lines if x.doubt not in out], [d for x, d in zip(lines, dense, strict=True) if x.doubt not in out]
     held: dict[int, int] = {}
@@ -223,19 +225,21 @@ def main_text(html: str) -> str:
             for number in line.path:
                 held[number] = held.get(number, 0) + len(line.text)
     whole = sum(len(x.text) for x, kept in zip(lines, dense, strict=True) if kept)
-    # the deepest element that holds the upper cluster: an article by most of it, others by nearly all
-    fits = [n for n, size in held.items() if size >= (0.5 if parser.container(n) in ("article", "main") else 0.9) * whole]
-    named = [n for n in fits if parser.container(n) in ("article", "main")]
-    region = max(named or fits, default=None)
-    kept = []
-    for line, is_dense in zip(lines, dense, strict=True):
-        if region is not None and region not in line.path:
-            continue
-        # menus without a name: lines of nothing but links
-        if not is_dense and not line.heading and line.links >= 0.8 * len(line.text) and not named:
-            continue
-        kept.append(line.text)
-    return "\n".join(kept)
+    # all lines of the articles with dense text, or of the main part, or of the deepest element that
+    # holds nearly all of it; elsewhere the dense lines and the headings above them
+    named = {n for n in held if parser.container(n) == "article"} or {n for n in held if parser.container(n) == "main"}
+    regions = named or {max((n for n, size in held.items() if size >= 0.9 * whole), default=None)}
+    kept, follows = [], False
+    for line, is_dense in zip(reversed(lines), reversed(dense), strict=True):
+        linked = line.links >= 0.8 * len(line.text)
+        if regions == {None} or not regions.isdisjoint(line.path):
+            # menus without a name: lines of nothing but links
+            follows = bool(named) or is_dense or line.heading or not linked
+        else:
+            follows = not linked and (is_dense or (line.heading and follows))
+        if follows:
+            kept.append(line.text)
+    return "\n".join(reversed(kept))
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -146,6 +146,14 @@ class LineParser(HTMLParser):
                     self._close()
                 return
 
+    def parse_html_declaration(self, i):
+        try:
+            end = super().parse_html_declaration(i)
+        except AssertionError:
+            end = -1
+        # a marked section without a known name or an end is a comment up to the next ">"
+        return self.parse_bogus_comment(i) if end < 0 and self.rawdata.startswith("<![", i) else end
+
     def handle_data(self, data):
         if self._hidden or (self._headers and not self._headings):
             return
@@ -200,11 +208,8 @@ def doubted(lines: list[_Line], dense: list[bool]) -> set[int]:
 def main_text(html: str) -> str:
     """The article of one page; empty if the page has no text."""
     parser = LineParser()
-    try:
-        parser.feed(html)
-        parser.close()
-    except AssertionError:
-        pass  # a declaration the parser cannot read ends the page
+    parser.feed(html)
+    parser.close()
     lines = []
     for line in parser.lines:
         line.text = " ".join("".join(line.parts).split())

@@ -392,3 +392,13 @@ def test_cues_announce_whole_values(spark):
     got = found_spans(spark, rows)
     assert all(got[i] == f"phone:9:{9 + len(v)}" for i, v in values.items())
     assert got[60] == "phone:10:23" and got[61] == "phone:7:20" and got[70] == "email:8:113"
+
+
+def test_large_lexicons_stay_sharp(spark):
+    from pyspark.sql import functions as F
+
+    terms = spark.range(120_000).select("id", F.xxhash64("id").alias("term"))
+    bits = fingerprints.lexicon_bits(terms.filter("id < 60000"))
+    rows = terms.select((F.col("id") < 60_000).alias("held"), fingerprints._in_lexicon(F.col("term"), F.lit(bits), 4 * len(bits)).alias("found"))
+    found = {r.held: r.share for r in rows.groupBy("held").agg(F.avg(F.col("found").cast("int")).alias("share")).collect()}
+    assert found[True] == 1 and found[False] < 0.0045

@@ -23,8 +23,10 @@ SALTS, LEVELS = 16, 5
 ENOUGH = 6
 # The lexicon as bits. Documents hold D distinct terms on average, so at most D / LEAST_SHARE terms
 # reach the band, whatever the size of the corpus; a term outside it that hits two set bits counts
-# as one of the lexicon, in every document alike.
-BITS = 18
+# as one of the lexicon, in every document alike. There are 2**BITS bits, and more where the band
+# has over 2**BITS / PER_TERM terms: at most 2 / PER_TERM of them are set, so a term outside the band
+# counts with a probability of at most (2 / PER_TERM) ** 2, 0.31 %.
+BITS, PER_TERM = 18, 36
 
 
 def terms(text: Column) -> Column:
@@ -42,16 +44,18 @@ def lexicon(docs: DataFrame) -> DataFrame:
     return counts.filter(band)
 
 
-def _places(term: Column) -> list[Column]:
-    return [F.shiftrightunsigned(term, shift).bitwiseAND(F.lit((1 << BITS) - 1)) for shift in (0, 32)]
+def _places(term: Column, size: int) -> list[Column]:
+    return [F.shiftrightunsigned(term, shift).bitwiseAND(F.lit(size - 1)) for shift in (0, 32)]
 
 
 def lexicon_bits(words: DataFrame) -> bytes:
-    """The lexicon as a constant of fixed size: four of its ``2**BITS`` bits to a byte."""
-    bits = words.select(F.explode(F.array(*_places(F.col("term")))).alias("place"))
+    """The lexicon as a constant: four of its bits to a byte, as many as its terms ask for."""
+    words = materialise(words.select("term"), "lexicon")
+    size = 1 << max(BITS, (PER_TERM * words.count() - 1).bit_length())
+    bits = words.select(F.explode(F.array(*_places(F.col("term"), size))).alias("place"))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
     rows = bits.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(one).alias("bits")).collect()
-    held = np.zeros((1 << BITS) >> 6, dtype="<i8")
+    held = np.zeros(size >> 6, dtype="<i8")
     held[[r["word"] for r in rows]] = [r["bits"] for r in rows]
     whole = held.view(np.uint8)
     return np.stack([whole & 15, whole >> 4], axis=1).tobytes()
@@ -62,9 +66,9 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def _in_lexicon(term: Column, bits: Column) -> Column:
+def _in_lexicon(term: Column, bits: Column, size: int) -> Column:
     found = F.lit(True)
-    for place in _places(term):
+    for place in _places(term, size):
         # a byte below 16 is a character of its own
         four = F.substring(bits, (F.shiftright(place, 2) + 1).cast("int"), F.lit(1)).cast("string")
         found = found & (F.getbit(F.ascii(four).cast("long"), place.bitwiseAND(F.lit(3)).cast("int")) == 1)
@@ -101,7 +105,7 @@ def fingerprint(text: Column, bits: bytes) -> Column:
         hashed = _let(ladders, lambda all_steps: F.concat_ws("|", *[level(all_steps, i) for i in range(LEVELS)]))
         return F.when(F.size(kept) > 0, hashed).otherwise(whole)
 
-    held = _let(F.lit(bits), lambda constant: F.array_sort(F.filter(terms(text), lambda t: _in_lexicon(t, constant))))
+    held = _let(F.lit(bits), lambda constant: F.array_sort(F.filter(terms(text), lambda t: _in_lexicon(t, constant, 4 * len(bits)))))
     return _let(held, shown)
 
 

@@ -402,3 +402,31 @@ def test_large_lexicons_stay_sharp(spark):
     rows = terms.select((F.col("id") < 60_000).alias("held"), fingerprints._in_lexicon(F.col("term"), F.lit(bits), 4 * len(bits)).alias("found"))
     found = {r.held: r.share for r in rows.groupBy("held").agg(F.avg(F.col("found").cast("int")).alias("share")).collect()}
     assert found[True] == 1 and found[False] < 0.0045
+
+
+def test_pipeline_rows_against_a_plain_chain(spark, whole_tokenizer):
+    docs = read(spark, SMALL, "documents")
+    scores = {r.doc_id: r.score for r in quality.score_documents(docs, read(spark, SMALL, "labels")).collect()}
+    sources = {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
+    chosen = [(i, t) for i, t in texts(docs) if scores[i] >= 0.3]
+    kept = {i for i, _, component in plain_components(chosen, 5) if i == component}
+    hidden = {i: pii.masked(t, pii.base_spans(t)) for i, t in chosen if i in kept}
+    assert 0 < len(kept) < len(chosen) < len(scores) and any("[CARD]" in t or "[IP]" in t for t in hidden.values())
+    sizes, words = defaultdict(int), {i: len(t.encode().split()) for i, t in hidden.items()}
+    for i, n in words.items():
+        sizes[sources[i]] += n
+    table = spark.createDataFrame([(i, sources[i], n) for i, n in words.items()], "doc_id long, source string, words long")
+    copies = {r.doc_id: r.copies for r in mixing.with_copies(table, n_words_column()).collect()}
+    taken = Counter()
+    for i, n in copies.items():
+        taken[sources[i]] += n * words[i]
+    targets = plain_targets(sizes)
+    assert all(abs(taken[s] - targets[s]) <= max(words.values()) for s in sizes)
+
+    ids = {i: np.array([*whole_tokenizer.encode(t, add_special_tokens=False).ids, 1], dtype="<u4") for i, t in hidden.items()}
+    covered = {i: np.zeros(len(x), dtype=int) for i, x in ids.items()}
+    for r in corpus_pipeline.run(spark, SMALL).collect():
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.doc_tokens == len(ids[r.doc_id]) and zlib.crc32(part.tobytes()) == r.ids_crc32
+        covered[r.doc_id][r.start : r.start + r.length] += 1
+    assert all((covered[i] == copies[i]).all() for i in ids)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from waterline.llm import fingerprints, html, licenses, mixing, neardup, packing, pii, quality, search, sharding
+from waterline.llm import conversations, fingerprints, html, licenses, mixing, neardup, packing, pii, quality, search, sharding
 from waterline.llm.oracle import ORACLE
 from waterline.llm.tables import n_words, read
 from waterline.sources.staging import materialise
@@ -68,10 +68,14 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(read(spark, sf_dir, "pages"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(read(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_sharding, op2_packing, op3_mixing, op4_neardup, op5_fingerprints, op6_quality, op7_pii,
-        op8_licenses, op9_search, op10_html,
+        op8_licenses, op9_search, op10_html, op13_conversations,
     )
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 

@@ -62,6 +62,32 @@ ranked as (
 select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 10
 """
 
+NEGATIVES = """
+with vectors as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256::double * x::double)) as v, row_number() over () as own
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+  select a.own, a.id as anchor_id, c.id, a.label = c.label as same,
+         list_dot_product(a.v::double[], c.v::double[])::bigint as score
+  from vectors a join vectors c on a.own <> c.own and len(a.v) = len(c.v)
+  where a.id % 50 = 0
+),
+positives as (
+  select own, anchor_id, id as positive_id, score as positive_score, row_number() over (partition by own order by score desc, id) as slot
+  from scored where same
+),
+negatives as (
+  select p.*, s.id as negative_id, s.score as negative_score,
+         row_number() over (partition by p.own, p.slot order by s.score desc, s.id) as rank
+  from positives p join scored s on s.own = p.own and not s.same
+  where p.slot <= 5 and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from negatives where rank <= 3
+"""
+
 REPAIR = r"""
 with recursive src as (
   select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
@@ -149,4 +175,4 @@ left join counted c on o.conv_id is not distinct from c.conv_id
 left join finished f on o.conv_id is not distinct from f.conv_id
 """
 
-ORACLE = {"op13_conversations": REPAIR, "op3_mixing": MIXING, "op9_search": SEARCH}
+ORACLE = {"op11_negatives": NEGATIVES, "op13_conversations": REPAIR, "op3_mixing": MIXING, "op9_search": SEARCH}

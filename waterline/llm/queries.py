@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from waterline.llm import conversations, fingerprints, html, licenses, mixing, neardup, negatives, packing, pii, quality, search, sharding
+from waterline.llm import conversations, fingerprints, html, language, licenses, mixing, neardup, negatives, packing, pii, quality, search, sharding
 from waterline.llm.oracle import ORACLE
 from waterline.llm.tables import n_words, read
 from waterline.sources.staging import materialise
@@ -72,6 +72,10 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(read(spark, sf_dir, "embeddings"))
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(read(spark, sf_dir, "conversations"))
 
@@ -79,7 +83,7 @@ def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = (
         op1_sharding, op2_packing, op3_mixing, op4_neardup, op5_fingerprints, op6_quality, op7_pii,
-        op8_licenses, op9_search, op10_html, op11_negatives, op13_conversations,
+        op8_licenses, op9_search, op10_html, op11_negatives, op12_language, op13_conversations,
     )
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 

@@ -430,3 +430,21 @@ def test_pipeline_rows_against_a_plain_chain(spark, whole_tokenizer):
         assert r.doc_tokens == len(ids[r.doc_id]) and zlib.crc32(part.tobytes()) == r.ids_crc32
         covered[r.doc_id][r.start : r.start + r.length] += 1
     assert all((covered[i] == copies[i]).all() for i in ids)
+
+
+def test_contexts_are_held_against_all_rows(spark, monkeypatch):
+    """Words beside a context refute it wherever they stand, with contexts in one part or in several."""
+    said = [f"we call me on 743.555.{1000 + i} now" for i in range(3)] + [f"we call me on +1 743 555 {3000 + i} now" for i in range(20)]
+    others = "monday tuesday friday sunday easter time top cue air line board stage".split()
+    for at_once in (50_000, 2):
+        monkeypatch.setattr(pii, "AT_ONCE", at_once)
+        assert "phone" in found_spans(spark, list(enumerate(said)))[0]
+        against = [f"{w} we call me on {w} now {w}" for w in others]
+        assert "phone" not in found_spans(spark, list(enumerate(said + against)))[0]
+
+
+def test_contexts_reach_as_far_as_their_words():
+    far = "announced" + " " * 5000 + "x" * 70_000
+    assert pii._contexts(far + " 1.2.3.4", len(far) + 1, len(far) + 8)[:2] == ["<" + "x" * 70_000, "<announced " + "x" * 70_000]
+    assert pii._contexts("5 % 1.2.3.4 %", 4, 11) == ["<0 %"]
+    assert pii.cue_rows("y" * 100 + "     :     1.2.3.4", [(1, 111, 118)])[0][0] == "y" * 100 + ":"

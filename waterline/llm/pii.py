@@ -34,7 +34,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
-_CUE = re.compile(r"([^\W_][\w-]{0,39})[\x20\t]{0,3}([:=#])[\x20\t]{0,3}[\"'(<]?([^\s\"'<>()]+)")
+_CUE = re.compile(r"(?<![\w-])[-_]*+([^\W_][\w-]*+)[\x20\t]*+([:=#])[\x20\t]*+[\"'(<]?([^\s\"'<>()]+)")
 _RUN = re.compile(r"[^\s\"'<>()]+")
 _OPEN = re.compile(r"(?<![^\s\"'<>()])[^\s\"'<>()0-9@]*+[0-9@][^\s\"'<>()]*+")
 # Groups of digits, bracketed perhaps, with single spaces, dots, hyphens or slashes between them.
@@ -42,8 +42,10 @@ _NUMBER = re.compile(r"\+?(?:\([0-9]++\)|[0-9]++)(?:(?:[\x20\xa0./-]|\x20-\x20)?
 _WORD = re.compile(r"\w+|[^\w\s]")
 _DIGITS = re.compile(r"[0-9]+")
 _LIKELY = re.compile(r"[0-9@]")
-# Words or marks of a context, and how far from an identifier they are looked for.
+# Words or marks of a context, and how far from an identifier they are looked for at first.
 CONTEXT, REACH = 3, 256
+# Contexts that are sent to the tasks at once, and the share of the rows that refutes most of them.
+AT_ONCE, FIRST_SHARE = 50_000, 64
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -104,17 +106,25 @@ def _normal(words: list[str]) -> list[str]:
     return [_DIGITS.sub("0", w.lower()) for w in words]
 
 
+def _before(text: str, start: int) -> list[str]:
+    """The last words or marks before a place; the stretch searched grows until they are whole."""
+    reach = REACH
+    while True:
+        low = max(0, start - reach)
+        found = [m for m in _WORD.finditer(text, low, start) if m.start() > low or not low]
+        if len(found) >= CONTEXT or not low:
+            return [m[0] for m in found[-CONTEXT:]]
+        reach *= 4
+
+
 def _contexts(text: str, start: int, end: int) -> list[str]:
-    """The contexts of a place: ``<`` and the words before it, ``>`` and the words after it."""
-    low, high = max(0, start - REACH), min(len(text), end + REACH)
-    before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or not low]
-    after = []
-    for m in _WORD.finditer(text, end, high):
-        if len(after) == CONTEXT or m.end() == high < len(text):
-            break
-        after.append(m[0])
-    left, right = _normal([m[0] for m in before[-CONTEXT:]]), _normal(after)
-    return [*("<" + " ".join(left[-n:]) for n in range(1, len(left) + 1)), *(">" + " ".join(right[:n]) for n in range(1, len(right) + 1))]
+    """The contexts of a place: ``<`` and the words before it, ``>`` and the words after it.
+
+    Marks alone are no context.
+    """
+    left, right = _normal(_before(text, start)), _normal([m[0] for m, _ in zip(_WORD.finditer(text, end), range(CONTEXT))])
+    found = [*(("<", left[-n:]) for n in range(1, len(left) + 1)), *((">", right[:n]) for n in range(1, len(right) + 1))]
+    return [side + " ".join(words) for side, words in found if any(w[0].isalnum() for w in words)]
 
 
 def cue_rows(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, bool, str, int, int, int]]:
@@ -280,20 +290,66 @@ def cue_scores(edges: DataFrame, others: DataFrame | None = None, rounds: int =
         scores, done = scored(both), done + 1
 
 
-def _others(texts: DataFrame, contexts: list[str]) -> DataFrame:
-    """``(cue, others)``: the different words beside each context that could not be identifiers."""
-    pool: dict[str, set[str]] = {}
-    for context in contexts:
-        words = context[1:].split(" ")
-        pool.setdefault(context[0] + words[-1 if context[0] == "<" else 0], set()).add(context)
+def _beside(limits: dict[str, int]):
+    """Different words beside each context in a task's texts, no more than refute the context."""
 
     def beside(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool: dict[str, set[str]] = {}
+        for context in limits:
+            words = context[1:].split(" ")
+            pool.setdefault(context[0] + words[-1 if context[0] == "<" else 0], set()).add(context)
+        anchors = {key[1:] for key in pool}
+        found: dict[str, set[str]] = {context: set() for context in limits}
         for batch in batches:
-            found = sorted(set().union(*(slot_words(text.as_py() or "", pool) for text in batch.column(0))))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["cue", "word"])
+            for text in batch.column(0):
+                body = text.as_py() or ""
+                lowered = body.lower()
+                # digits are normalised, so they cannot be looked for
+                if any("0" in a or a in lowered for a in anchors):
+                    for context, word in slot_words(body, pool):
+                        if len(found[context]) <= limits[context]:
+                            found[context].add(word)
+        rows = [(context, word) for context, words in found.items() for word in sorted(words)]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], pa.string()) for i in (0, 1)], names=["cue", "word"])
 
-    words = texts.mapInArrow(beside, "cue string, word string").distinct()
-    return materialise(words.groupBy("cue").agg(F.count("*").alias("others")), "others")
+    return beside
+
+
+def _surviving(texts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``(cue, limit, others)`` of the contexts that the words beside them in ``texts`` do not refute.
+
+    Contexts go to the tasks in parts of some ``AT_ONCE``; there are as many passes as parts.
+    """
+    spark = texts.sparkSession
+    parts = -(-contexts.count() // AT_ONCE)
+    kept = None
+    for part in range(parts):
+        mine = contexts.filter(F.pmod(F.xxhash64("cue"), F.lit(parts)) == part)
+        limits = {r["cue"]: r["limit"] for r in mine.select("cue", "limit").toLocalIterator()}
+        words = texts.mapInArrow(_beside(limits), "cue string, word string").distinct()
+        counted = words.groupBy("cue").agg(F.count("*").alias("others"))
+        found = mine.select("cue", "limit").join(counted, "cue", "left").withColumn("others", F.coalesce("others", F.lit(0).cast("long")))
+        found = found.filter(F.col("others") <= F.col("limit"))
+        kept = found if kept is None else kept.unionByName(found)
+    return materialise(kept, "contexts") if kept is not None else spark.createDataFrame([], "cue string, limit long, others long")
+
+
+def held_against_words(texts: DataFrame, scores: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(cue, others)`` of good contexts: how many other words stand beside them, where few do.
+
+    A context of T tokens is refuted by more than ``T / LEAST_SCORE - T`` other words, wherever they
+    stand. So a share of the rows refutes most contexts, and only the rest are held against all rows. A
+    task gives back no more words of a context than refute it. Refuted contexts count one word more
+    than their limit.
+    """
+    good = scores.filter(_good() & _is_context(F.col("cue"))).select("cue").distinct()
+    tokens = edges.groupBy("cue", "number").agg(F.count("*").alias("tokens")).groupBy("cue").agg(F.max("tokens").alias("tokens"))
+    limit = F.floor(F.col("tokens") / LEAST_SCORE - F.col("tokens")).cast("long")
+    contexts = materialise(good.join(tokens, "cue").select("cue", limit.alias("limit")), "contexts")
+    share = texts.filter(F.monotonically_increasing_id() % FIRST_SHARE == 0)
+    left = _surviving(share, contexts)
+    left = _surviving(texts, left.drop("others")) if not left.isEmpty() else left
+    return contexts.join(left.select("cue", "others"), "cue", "left").select("cue", F.coalesce("others", F.col("limit") + 1).alias("others"))
 
 
 def discovered(scanned: DataFrame, texts: DataFrame) -> DataFrame:
@@ -305,9 +361,8 @@ def discovered(scanned: DataFrame, texts: DataFrame) -> DataFrame:
     cues = scanned.select("key", F.explode("cues").alias("c")).select("key", "c.*")
     edges = materialise(edges_of(cues), "edges")
     scores = cue_scores(edges)
-    contexts = [r["cue"] for r in scores.filter(_good() & _is_context(F.col("cue"))).select("cue").distinct().collect()]
-    if contexts:
-        scores = cue_scores(edges, _others(texts, contexts))
+    if not scores.filter(_good() & _is_context(F.col("cue"))).isEmpty():
+        scores = cue_scores(edges, held_against_words(texts, scores, edges))
     good = scores.filter(_good()).groupBy("cue").agg(F.min(F.struct(-F.col("score"), F.col("kind").alias("as"))).alias("best"))
     good = good.withColumn("number", F.col("best.as") >= 2)
     tokens = cues.filter((F.col("kind") < 0) & identifier(F.col("token"))).drop("kind")

@@ -12,6 +12,7 @@ from waterline.plans.forecasting import auto_forecast, forecast
 from waterline.schema import MONTHLY_SCHEMA
 from waterline.sources import sinks
 from waterline.sources.layout import Layout
+from waterline.sources.runs import read_current
 
 N = 41
 TIERS = ["Full", "high_performers", "moderate_performers", "underperformers"]
@@ -249,4 +250,4 @@ def test_predictions_sink(spark, monthly, tmp_path):
     out = forecast(monthly, TREND, 2)
     path = sinks.write_predictions(out.trend, Layout(str(tmp_path)), "Ending MRR")
     assert path.endswith("forecasts/Ending_MRR_predictions")
-    assert spark.read.parquet(path).filter("tier = 'Full'").count() == N - 1 + 2
+    assert read_current(spark, path, ["Full"]).count() == N - 1 + 2

@@ -12,6 +12,7 @@ from waterline.schema import MONTHLY_TITLES
 from waterline.sources import contracts as source
 from waterline.sources import monthly, sinks, staging
 from waterline.sources.layout import Layout
+from waterline.sources.runs import Run, read_current, remove_replaced
 from waterline.sources.price_changes import read_price_changes
 from waterline.sources.sites import read_sites_csv, read_sites_parquet
 
@@ -118,14 +119,57 @@ def test_run_writes_everything(spark, contracts, cfg, tmp_path):
     rows = sinks.export_contracts_csv(run.contracts, layout, "high_performers", cfg.tiers)
     assert spark.read.option("header", True).csv(rows).filter(F.col("`CXN Code`") == 5).count() == 1
     tiered = sinks.write_contracts(run.contracts, layout, cfg.tiers)
-    assert spark.read.parquet(tiered).groupBy("tier").count().count() == 3
+    assert read_current(spark, tiered).groupBy("tier").count().count() == 3
     assert spark.read.parquet(sinks.write_cleaned(df, layout)).count() == 2
     conflict = df.withColumn("n_categories", F.lit(2))
-    assert sinks.write_exclusivity_errors(conflict, layout).endswith("Mutual_Exclusivity_Errors")
+    path, count = sinks.write_exclusivity_errors(conflict, layout)
+    assert path.endswith("Mutual_Exclusivity_Errors") and count == 2 and (run.conflicting, run.rejected) == (0, 0)
     with pytest.raises(ValueError):
         layout.tier("Full", "nowhere")
 
 
+def test_runs_replace_only_what_they_wrote(spark, tmp_path):
+    layout = Layout(str(tmp_path / "out"))
+    path = f"{layout.all_tiers('combined_results')}/table"
+
+    def table(*rows):
+        return spark.createDataFrame(rows, "month string, v int, tier string")
+
+    def current(tiers=None):
+        return sorted(map(tuple, read_current(spark, path, tiers).collect()))
+
+    with pytest.raises(FileNotFoundError):
+        current()
+    sinks.write_by_tier(table(("2024-01", 1, "a"), ("2024-02", 2, "a")), layout, "combined_results", "table")
+    sinks.write_by_tier(table(("2024-01", 3, "1/b")), layout, "combined_results", "table")
+    assert current() == [("2024-01", 1, "a"), ("2024-01", 3, "1/b"), ("2024-02", 2, "a")]
+    broken = Run(spark, layout)
+    sinks.write_by_tier(table(("2024-01", 9, "a")), layout, "combined_results", "table", broken)
+    assert current(["a"]) == [("2024-01", 1, "a"), ("2024-02", 2, "a")]
+    sinks.write_by_tier(table(("2024-03", 5, "a")), layout, "combined_results", "table", tiers=["a", "1/b"])
+    assert current() == [("2024-03", 5, "a")] and remove_replaced(spark, path) == 2
+    sinks.write_by_tier(table(("2024-03", 5, "a")).limit(0), layout, "combined_results", "table", tiers=["a"])
+    assert current() == [] and remove_replaced(spark, path) == 1
+    # the run that is not finished keeps its files
+    broken.finish()
+    assert current() == []
+
+
+def test_rejects_are_counted_while_they_are_written(spark, tmp_path):
+    layout = Layout(str(tmp_path / "out"))
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            evaluated.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(7).withColumnRenamed("id", "n").mapInArrow(seen, "n long")
+    path, count = sinks.write_rejects(rows, layout)
+    assert count == 7 == evaluated.value and spark.read.option("header", True).csv(path).count() == 7
+    assert sinks.write_rejects(rows.filter("n > 10"), layout) == (None, 0) and not (tmp_path / "out/Rejected_Rows").exists()
+
+
 def test_run_from_files(spark, csv, cfg, tmp_path):
     from waterline.config import RunConfig
 

@@ -25,6 +25,7 @@ from waterline.schema import CONTRACT_TITLES
 from waterline.sources import sinks
 from waterline.sources.layout import Layout
 from waterline.sources.monthly import read_monthly, read_monthly_csv
+from waterline.sources.runs import Run, read_current
 from waterline.sources.sites import read_sites_csv
 from waterline.sources.staging import scratch
 
@@ -68,6 +69,20 @@ def _batch_run(spark, sf):
     return read_monthly(spark, f"{layout.all_tiers('combined_results')}/combined_mrr_arpu_results")
 
 
+def _two_runs(spark, sf):
+    """High performers, then underperformers, then high performers repriced, and a run that breaks."""
+    layout = _output(spark)
+    rows, places = contracts(spark, sf), sites(spark, sf)
+    for keys, changes in (([1], ()), ([3], ()), ([1], CHANGES)):
+        written = monthly.batch_run(rows, places, CONFIG, keys, changes, layout)
+    # written, never finished
+    sinks.write_combined(written.combined, layout, run=Run(spark, layout), tiers=["high_performers"])
+    path = layout.all_tiers("combined_results")
+    names = {"baseline": f"{path}/baseline_combined_mrr_arpu_results", "repriced": f"{path}/combined_mrr_arpu_results"}
+    tables = [read_monthly(spark, p).withColumn("scenario", F.lit(name)) for name, p in names.items()]
+    return tables[0].unionByName(tables[1])
+
+
 def _waterfall_sink(spark, sf):
     layout = _output(spark)
     monthly.batch_run(contracts(spark, sf), sites(spark, sf), CONFIG, KEYS, layout=layout)
@@ -100,7 +115,7 @@ def _cleaned_sink(spark, sf):
 
 def _filtered_sink(spark, sf):
     path = sinks.write_contracts(deduped(spark, sf), _output(spark), TIER_SEGMENTS)
-    return spark.read.parquet(path)
+    return read_current(spark, path)
 
 
 def _back(spark: SparkSession, path: str | None, names: tuple[str, ...]) -> DataFrame:
@@ -113,19 +128,19 @@ def _back(spark: SparkSession, path: str | None, names: tuple[str, ...]) -> Data
 
 
 def _exclusivity_sink(spark, sf):
-    path = sinks.write_exclusivity_errors(exclusivity_conflicts(tagged(spark, sf)), _output(spark))
+    path, _ = sinks.write_exclusivity_errors(exclusivity_conflicts(tagged(spark, sf)), _output(spark))
     return _back(spark, path, ("account_number", "package_group", "start_date", "site", "order_key", "line_number"))
 
 
 def _rejects_sink(spark, sf):
-    path = sinks.write_rejects(filters.rejected_starts(date_text(spark, sf)), _output(spark))
+    path, _ = sinks.write_rejects(filters.rejected_starts(date_text(spark, sf)), _output(spark))
     back = _back(spark, path, ("order_key", "start_date"))
     return back.withColumn("order_key", F.col("order_key").cast("bigint"))
 
 
 def _predictions_sink(spark, sf):
     path = sinks.write_predictions(forecast_run(spark, sf, TREND).trend, _output(spark), "Ending MRR")
-    return rounded(spark.read.parquet(path))
+    return rounded(read_monthly(spark, path))
 
 
 def _finite_values(spark, sf):
@@ -161,6 +176,7 @@ def _currency_file(spark, sf):
 QUERIES = {
     "run_from_files": _run_from_files,
     "batch_run": _batch_run,
+    "two_runs": _two_runs,
     "run_arr": _run_arr,
     "waterfall_sink": _waterfall_sink,
     "monthly_csv": _monthly_csv,
@@ -191,6 +207,10 @@ def oracle_sql() -> dict[str, str]:
     return {
         "run_from_files": f"WITH {oracle.combined(rows=oracle.prep(head=oracle.cleaned_head()))} SELECT {columns} FROM combined",
         "batch_run": f"WITH {oracle.combined(rows=oracle.splits(), source='split')} SELECT {columns} FROM combined WHERE tier IN ({picked})",
+        "two_runs": f"""SELECT {columns}, 'baseline' AS scenario FROM ({core['combined_metrics']})
+            WHERE tier IN ('high_performers', 'underperformers') UNION ALL
+            SELECT * FROM (WITH {oracle.combined(rows=oracle.splits(), source='split')}
+              SELECT {columns}, 'repriced' AS scenario FROM combined WHERE tier = 'high_performers')""",
         "run_arr": f"SELECT * FROM ({core['arr']}) WHERE tier IN ({picked})",
         "waterfall_sink": f"SELECT * FROM ({core['mrr_waterfall_by_tier']}) WHERE tier IN ({picked})",
         "monthly_csv": f"SELECT * FROM ({core['combined_metrics']}) WHERE tier IN ({picked})",

@@ -21,6 +21,7 @@ from waterline.schema import MONTHLY_TITLES
 from waterline.sources import sinks
 from waterline.sources.contracts import read_contracts_csv, validate
 from waterline.sources.layout import Layout
+from waterline.sources.runs import Run
 from waterline.sources.sites import read_sites_csv
 from waterline.sources.staging import materialise
 
@@ -52,6 +53,9 @@ class MonthlyRun:
     arr: DataFrame
     # input rows without a readable start date; no metric counts them
     rejects: DataFrame
+    # how many conflicting and rejected rows were written; unknown without a layout
+    conflicting: int | None = None
+    rejected: int | None = None
 
 
 def select_tiers(cfg: RunConfig, keys: Sequence[int] | None = None) -> list[str]:
@@ -90,19 +94,22 @@ def monthly_run(
     if layout is None:
         rows = materialise(rows, "contracts")
     else:
-        path = sinks.write_contracts(rows, layout, repriced=repriced)
-        rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
+        run = Run(rows.sparkSession, layout)
+        path = sinks.write_contracts(rows, layout, repriced=repriced, run=run)
+        rows = run.back(rows.schema, path)
 
+    conflicting = rejected = None
     picked = F.col("tier").isin(*wanted)
     flow = materialise(waterfall(rows, cfg).filter(picked), "waterfall")
     combined = materialise(combine(flow, rows, sites, cfg), "combined")
     errors = exclusivity_conflicts(rows)
     if layout is not None:
-        sinks.write_waterfall(flow, layout, repriced)
-        sinks.write_combined(combined, layout, repriced)
-        sinks.write_exclusivity_errors(errors, layout)
-        sinks.write_rejects(rejects, layout)
-    return MonthlyRun(rows, errors, flow, combined, arr(combined), rejects)
+        sinks.write_waterfall(flow, layout, repriced, run, wanted)
+        sinks.write_combined(combined, layout, repriced, run, wanted)
+        _, conflicting = sinks.write_exclusivity_errors(errors, layout)
+        _, rejected = sinks.write_rejects(rejects, layout)
+        run.finish()
+    return MonthlyRun(rows, errors, flow, combined, arr(combined), rejects, conflicting, rejected)
 
 
 def batch_run(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from waterline.schema import MONTHLY_COUNTS, MONTHLY_TITLES
+from waterline.sources.runs import read_current
 
 
 def read_monthly_csv(spark: SparkSession, path: str, tier: str) -> DataFrame:
@@ -27,9 +28,9 @@ def read_monthly_csv(spark: SparkSession, path: str, tier: str) -> DataFrame:
     return raw.select(F.lit(tier).alias("tier"), *columns)
 
 
-def read_monthly(spark: SparkSession, path: str) -> DataFrame:
-    """The all-tiers table written by :func:`waterline.sources.sinks.write_by_tier`."""
-    return spark.read.parquet(path)
+def read_monthly(spark: SparkSession, path: str, tiers: Sequence[str] | None = None) -> DataFrame:
+    """The all-tiers table written by :func:`waterline.sources.sinks.write_by_tier`, as it stands now."""
+    return read_current(spark, path, tiers)
 
 
 def complete_months(monthly: DataFrame) -> DataFrame:

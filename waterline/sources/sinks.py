@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waterline.config import FULL
 from waterline.operators.tiers import add_tiers, filter_on_tier
 from waterline.schema import CONTRACT_TITLES, DERIVED_TITLES, MONTHLY_TITLES, WATERFALL_COLUMNS
 from waterline.sources.layout import Layout
+from waterline.sources.runs import Run, file_system
 
 CONTRACT_FILE_TITLES = {
     name: title for title, name in {**CONTRACT_TITLES, **DERIVED_TITLES}.items()
@@ -40,39 +41,45 @@ def write_cleaned(contracts: DataFrame, layout: Layout, tier: str = FULL) -> str
     return path
 
 
+def _written(df: DataFrame, layout: Layout, path: str, run: Run | None, tiers: Sequence[str] | None = None) -> str:
+    """Write within a run, or as a run of its own."""
+    own = run or Run(df.sparkSession, layout)
+    own.write(df, path, tiers)
+    if run is None:
+        own.finish()
+    return path
+
+
 def write_contracts(
     contracts: DataFrame,
     layout: Layout,
     tiers: Mapping[str, Sequence[int]] | None = None,
     repriced: bool = False,
+    run: Run | None = None,
 ) -> str:
     """Prepared contract rows; with ``tiers`` one partition per tier a row belongs to."""
     name = f"{scenario_prefix(repriced, contracts=True)}filtered_data"
     if tiers is None:
-        path = f"{layout.tier(FULL, 'filtered_data')}/{name}"
-        contracts.write.mode("overwrite").parquet(path)
-    else:
-        path = f"{layout.all_tiers('filtered_data')}/{name}"
-        add_tiers(contracts, tiers).write.mode("overwrite").partitionBy("tier").parquet(path)
-    return path
+        return _written(contracts, layout, f"{layout.tier(FULL, 'filtered_data')}/{name}", run)
+    return _written(add_tiers(contracts, tiers), layout, f"{layout.all_tiers('filtered_data')}/{name}", run)
 
 
-def write_by_tier(df: DataFrame, layout: Layout, stage: str, name: str) -> str:
-    """A monthly table as Parquet, one partition per tier."""
-    path = f"{layout.all_tiers(stage)}/{name}"
-    # a row per tier and month
-    df.repartition("tier").write.mode("overwrite").partitionBy("tier").parquet(path)
-    return path
+def write_by_tier(df: DataFrame, layout: Layout, stage: str, name: str, run: Run | None = None, tiers: Sequence[str] = ()) -> str:
+    """A monthly table as Parquet, one partition per tier; other tiers' earlier rows stay.
 
+    ``tiers`` names those the table stands for, also without rows. Read it with ``read_monthly``.
+    """
+    return _written(df, layout, f"{layout.all_tiers(stage)}/{name}", run, tiers)
 
-def write_waterfall(df: DataFrame, layout: Layout, repriced: bool = False) -> str:
+
+def write_waterfall(df: DataFrame, layout: Layout, repriced: bool = False, run: Run | None = None, tiers: Sequence[str] = ()) -> str:
     name = f"{scenario_prefix(repriced)}mrr_waterfall_results"
-    return write_by_tier(df, layout, "mrr_waterfall", name)
+    return write_by_tier(df, layout, "mrr_waterfall", name, run, tiers)
 
 
-def write_combined(df: DataFrame, layout: Layout, repriced: bool = False) -> str:
+def write_combined(df: DataFrame, layout: Layout, repriced: bool = False, run: Run | None = None, tiers: Sequence[str] = ()) -> str:
     name = f"{scenario_prefix(repriced)}combined_mrr_arpu_results"
-    return write_by_tier(df, layout, "combined_results", name)
+    return write_by_tier(df, layout, "combined_results", name, run, tiers)
 
 
 def export_csv(
@@ -107,22 +114,25 @@ def export_contracts_csv(
     return path
 
 
-def write_rejects(rejects: DataFrame, layout: Layout) -> str | None:
-    """Rows without a readable start date, only if there are any."""
-    if rejects.isEmpty():
-        return None
-    path = f"{layout.root}/Rejected_Rows"
-    _csv(titled(rejects, CONTRACT_FILE_TITLES), path)
-    return path
+def _if_any(rows: DataFrame, path: str) -> tuple[str | None, int]:
+    """Contract rows as CSV, counted while they are written; nothing stays if there are none."""
+    seen = Observation()
+    _csv(titled(rows.observe(seen, F.count(F.lit(1)).alias("rows")), CONTRACT_FILE_TITLES), path)
+    count = seen.get["rows"]
+    if not count:
+        files, target = file_system(rows.sparkSession, path)
+        files.delete(target, True)
+    return (path if count else None), count
 
 
-def write_exclusivity_errors(conflicts: DataFrame, layout: Layout) -> str | None:
-    """Conflicting rows, only if there are any."""
-    if conflicts.isEmpty():
-        return None
-    path = f"{layout.root}/Mutual_Exclusivity_Errors"
-    _csv(titled(conflicts, CONTRACT_FILE_TITLES), path)
-    return path
+def write_rejects(rejects: DataFrame, layout: Layout) -> tuple[str | None, int]:
+    """Rows without a readable start date, and how many; no file if there are none."""
+    return _if_any(rejects, f"{layout.root}/Rejected_Rows")
+
+
+def write_exclusivity_errors(conflicts: DataFrame, layout: Layout) -> tuple[str | None, int]:
+    """Conflicting rows, and how many; no file if there are none."""
+    return _if_any(conflicts, f"{layout.root}/Mutual_Exclusivity_Errors")
 
 
 def write_predictions(trend: DataFrame, layout: Layout, target: str) -> str:

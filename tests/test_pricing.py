@@ -163,3 +163,55 @@ def test_twenty_thousand_changes(contracts, spark):
     for changes in (long, pricing.price_change_table(spark, long)):
         assert {int(r.price) for r in pricing.apply_price_changes(df, changes).collect()} == {5}
     assert pricing.price_change_impact(df, long).agg(F.sum("contracts_repriced")).first()[0] == 25
+
+
+def walked(terms, price, start):
+    for eff, old, new in terms:
+        if start is not None and start >= eff and price == old:
+            price = new
+    return price
+
+
+def cut(terms, price, start, end, split_open):
+    """Periods of a contract by going through all changes."""
+    days = {}
+    for eff, old, new in terms:
+        open_end = end is None and split_open == "open"
+        if old == price and start is not None and start < eff and (open_end or (end is not None and eff < end)):
+            days[eff] = new
+    edges = [(start, price), *sorted(days.items())]
+    ends = [e - dt.timedelta(1) for e, _ in edges[1:]] + [end]
+    return [(s, e, p) for (s, p), e in zip(edges, ends, strict=True)]
+
+
+@pytest.mark.parametrize("split_open", ["never", "open"])
+def test_index_against_all_changes(contracts, spark, split_open):
+    """Hundreds of changes of a package among few prices and dates, as a list and as a table."""
+    draw = random.Random(7)
+    day = lambda: dt.date(2024, 1, 1) + dt.timedelta(draw.randrange(60))
+    listed = price_changes([(draw.choice("PQ"), day(), draw.randrange(6), draw.randrange(6)) for _ in range(300)])
+    terms = {p: [(c.effective_date, c.old_price, c.new_price) for c in listed if c.package == p] for p in "PQ"}
+    rows = []
+    for i in range(120):
+        start = day()
+        end = None if i % 5 == 0 else start + dt.timedelta(draw.randrange(40))
+        rows.append(contract(f"A{i}", package=draw.choice("PQR"), start=str(start), end=end and str(end), price=str(draw.randrange(8))))
+    rows.append((*contract("A999")[:2], None, *contract("A999")[3:]))
+    df = contracts(*rows)
+    new = {r[0]: walked(terms.get(r[1], []), Decimal(r[4]), r[2]) for r in rows}
+    want = sorted((r[0], *map(str, p)) for r in rows for p in cut(terms.get(r[1], []), new[r[0]], r[2], r[3], split_open))
+    for changes in (listed, pricing.price_change_table(spark, listed)):
+        assert {r.account_number: r.price for r in pricing.apply_price_changes(df, changes).collect()} == new
+        got = pricing.reprice(df, changes, split_open).collect()
+        assert sorted((r.account_number, str(r.start_date), str(r.end_date), str(Decimal(r.price).normalize() + 0 if r.price % 1 else int(r.price))) for r in got) == sorted(
+            (a, s, e, str(int(Decimal(p)))) for a, s, e, p in want
+        )
+        total = pricing.split_summary(df, changes, split_open).first()
+        assert total.contracts_after == len(want)
+
+
+def test_steps_are_as_short_as_they_can_be():
+    terms = [(dt.date(2024, 1, 1) + dt.timedelta(i), Decimal(1), Decimal(2)) for i in range(4000)]
+    assert pricing.compile_steps(terms) == {Decimal(1): ([dt.date(2024, 1, 1)], [Decimal(2)])}
+    there_and_back = [(dt.date(2024, 1, 1), Decimal(1), Decimal(2)), (dt.date(2024, 1, 1), Decimal(2), Decimal(1))]
+    assert Decimal(1) not in pricing.compile_steps(there_and_back)

@@ -123,3 +123,17 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
             "cast((s_suppkey * 7 + segment * 13) % 200 as bigint) as base",
         )
     )
+
+
+# A change of one package per order, between 800 prices; Spark and DuckDB read the same text.
+LONG_CHANGES = """
+  select cast(o_orderkey as bigint) as seq, 'PROMO' as package, cast(o_orderdate as date) as effective_date,
+    cast(40.99 + cast(o_custkey % 800 as decimal(18,2)) * 0.05 as decimal(18,2)) as old_price,
+    cast(40.99 + cast(o_orderkey % 800 as decimal(18,2)) * 0.05 as decimal(18,2)) as new_price
+  from orders
+"""
+
+
+def long_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many changes of one package as there are orders."""
+    return spark.sql(LONG_CHANGES.replace("from orders", "from {orders}"), orders=table(spark, sf_dir, "orders"))

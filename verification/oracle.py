@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from verification.fixtures import AS_OF, CHANGES, CONTRACT_COLUMNS, EARLY_AS_OF, PACKAGES
+from verification.fixtures import AS_OF, CHANGES, CONTRACT_COLUMNS, EARLY_AS_OF, LONG_CHANGES, PACKAGES
 from waterline.config import TIER_SEGMENTS
 
 _IN_PACKAGES = ", ".join(f"'{p}'" for p in PACKAGES)
@@ -128,6 +128,35 @@ split AS (
   FROM periods p JOIN numbered n USING (rid))"""
 
 
+def long_splits() -> str:
+    """As ``splits``, for a change per order; prices follow their changes one by one. Recursive."""
+    return f"""{prep()},
+changes(seq, package, eff, old, new) AS ({LONG_CHANGES}),
+arrived AS (SELECT *, row_number() OVER () AS rid FROM deduped),
+walk AS (
+  SELECT rid, package_group, start_date, price, CAST(0 AS BIGINT) AS seq FROM arrived
+  UNION ALL
+  SELECT w.rid, w.package_group, w.start_date, arg_min(c.new, c.seq), min(c.seq)
+  FROM walk w JOIN changes c
+    ON c.package = w.package_group AND c.old = w.price AND c.eff <= w.start_date AND c.seq > w.seq
+  GROUP BY w.rid, w.package_group, w.start_date),
+numbered AS (
+  SELECT a.* REPLACE (w.price AS price)
+  FROM arrived a JOIN (SELECT rid, arg_max(price, seq) AS price FROM walk GROUP BY rid) w USING (rid)),
+days AS (SELECT package, old, eff, arg_max(new, seq) AS new FROM changes GROUP BY ALL),
+edges AS (
+  SELECT rid, start_date AS from_date, price FROM numbered
+  UNION ALL
+  SELECT n.rid, d.eff, d.new FROM numbered n JOIN days d
+    ON n.package_group = d.package AND n.price = d.old AND n.start_date < d.eff AND d.eff < n.end_date),
+periods AS (
+  SELECT rid, from_date, price, lead(from_date) OVER (PARTITION BY rid ORDER BY from_date) AS next_date FROM edges),
+split AS (
+  SELECT n.* REPLACE (p.from_date AS start_date, p.price AS price,
+    CASE WHEN p.next_date IS NULL THEN n.end_date ELSE p.next_date - 1 END AS end_date)
+  FROM periods p JOIN numbered n USING (rid))"""
+
+
 def start_new(as_of: dt.date = AS_OF) -> str:
     """Needs ``tiered``."""
     return f"""
@@ -417,6 +446,7 @@ def oracle_sql() -> dict[str, str]:
               count(DISTINCT account_number) AS accounts FROM tiered GROUP BY ALL""",
         "reprice_new": f"WITH {splits()} SELECT {_TAGGED} FROM repriced",
         "split_contracts": f"WITH {splits()} SELECT {_TAGGED} FROM split",
+        "split_contracts_long_list": f"WITH RECURSIVE {long_splits()} SELECT {_TAGGED} FROM split",
         "split_contracts_by_table": f"WITH {splits()} SELECT {_TAGGED} FROM split",
         "price_change_impact": _impact(),
         "price_change_impact_of_table": _impact(),

@@ -15,6 +15,7 @@ from verification.fixtures import (
     EARLY_CONFIG,
     PACKAGES,
     contracts,
+    long_changes,
     raw_contracts,
     sites,
     table,
@@ -232,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "reprice_new": lambda s, d: pricing.apply_price_changes(deduped(s, d), CHANGES),
     "split_contracts": lambda s, d: pricing.reprice(deduped(s, d), CHANGES),
     "price_change_impact": lambda s, d: pricing.price_change_impact(deduped(s, d), CHANGES),
+    "split_contracts_long_list": lambda s, d: pricing.reprice(deduped(s, d), long_changes(s, d)),
     "split_contracts_by_table": lambda s, d: pricing.reprice(deduped(s, d), pricing.price_change_table(s, CHANGES)),
     "price_change_impact_of_table": lambda s, d: pricing.price_change_impact(
         deduped(s, d), pricing.price_change_table(s, CHANGES)

@@ -1,17 +1,21 @@
 """Price-change scenarios: repricing of new contracts and splitting of running ones.
 
-Changes are a list or a table of any length. They become one row per package with all its changes,
-joined to the contracts once: broadcast if it is known to be small, by a shuffle otherwise. Repricing
-and splitting are projections on top of that.
+Changes are a list or a table of any length. They are compiled once into an index by package and
+price: what a price becomes, as steps over the start date, and the changes that cut a contract, by date.
+A contract meets its row of the index in an equi-join (broadcast if that is known to be small) and finds
+its place by binary search, so its cost hardly follows the number of changes. Chained cuts and the
+impact counters walk the changes of a package.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -65,17 +69,142 @@ def as_table(spark: SparkSession, changes: Changes) -> DataFrame:
     return changes if isinstance(changes, DataFrame) else price_change_table(spark, changes)
 
 
+_STEPS = "package_group string, _at decimal(18,2), _starts array<date>, _prices array<decimal(18,2)>"
+_CUT = "struct<eff:date,new:decimal(18,2)>"
+
+
+def compile_steps(terms: Iterable[tuple[dt.date, Decimal, Decimal]]) -> dict[Decimal, tuple[list, list]]:
+    """What each price becomes, as steps over the start date, for ``(date, old, new)`` in list order.
+
+    From the last change to the first: a change sends contracts at its old price that start on its
+    date or later to the steps of its new price; all other steps stay.
+    """
+    steps: dict[Decimal, tuple[list, list]] = {}
+    for eff, old, new in reversed(list(terms)):
+        if eff is None or old is None:
+            continue
+        starts, prices = steps.get(old, ([], []))
+        later, becomes = steps.get(new, ([], []))
+        before, at = bisect_left(starts, eff), bisect_right(later, eff)
+        joined = [*zip(starts[:before], prices[:before], strict=True), (eff, becomes[at - 1] if at else new)]
+        joined += zip(later[at:], becomes[at:], strict=True)
+        kept, last = [], old
+        for start, price in joined:
+            if price != last:
+                kept.append((start, price))
+            last = price
+        steps[old] = ([x for x, _ in kept], [x for _, x in kept])
+    return {price: found for price, found in steps.items() if found[0]}
+
+
+def _compile_package(changes: pd.DataFrame) -> pd.DataFrame:
+    """The steps of one package's changes."""
+    ordered = changes.sort_values(["seq", "eff", "old", "new"])
+    steps = compile_steps(zip(ordered["eff"], ordered["old"], ordered["new"], strict=True))
+    rows = [(changes["package_group"].iloc[0], price, *found) for price, found in steps.items()]
+    return pd.DataFrame(rows, columns=["package_group", "_at", "_starts", "_prices"])
+
+
+def _steps(spark: SparkSession, changes: Changes) -> DataFrame:
+    if isinstance(changes, DataFrame):
+        return _named(changes).groupBy("package_group").applyInPandas(_compile_package, _STEPS)
+    packages: dict[str, list[tuple]] = {}
+    for c in changes:
+        packages.setdefault(c.package, []).append((c.effective_date, c.old_price, c.new_price))
+    rows = [(name, price, *found) for name, terms in packages.items() for price, found in compile_steps(terms).items()]
+    return _small(spark.createDataFrame(rows, _STEPS), sum(len(r[2]) for r in rows))
+
+
+def _cut_lists(spark: SparkSession, changes: Changes) -> DataFrame:
+    """``(package_group, _at, _changes)``: the changes of a price by date, the last of a day only."""
+    if isinstance(changes, DataFrame):
+        last = F.max_by("new", F.struct("seq", "new")).alias("new")
+        days = _named(changes).filter("eff is not null and old is not null").groupBy("package_group", F.col("old").alias("_at"), "eff").agg(last)
+        return days.groupBy("package_group", "_at").agg(F.array_sort(F.collect_list(F.struct("eff", "new"))).alias("_changes"))
+    lists: dict[tuple, dict] = {}
+    for c in changes:
+        lists.setdefault((c.package, c.old_price), {})[c.effective_date] = c.new_price
+    rows = [(*key, sorted(days.items())) for key, days in lists.items()]
+    return _small(spark.createDataFrame(rows, f"package_group string, _at decimal(18,2), _changes array<{_CUT}>"), sum(len(r[2]) for r in rows))
+
+
+def _small(index: DataFrame, entries: int) -> DataFrame:
+    return F.broadcast(index) if entries <= BROADCAST_CHANGES else index
+
+
+def _named(changes: DataFrame) -> DataFrame:
+    """``(package_group, seq, eff, old, new)`` of a table of changes."""
+    return changes.filter(F.col("package").isNotNull()).select(
+        F.trim("package").alias("package_group"),
+        F.col("seq").cast("int").alias("seq"),
+        F.col("effective_date").cast("date").alias("eff"),
+        F.col("old_price").cast(PRICE).alias("old"),
+        F.col("new_price").cast(PRICE).alias("new"),
+    )
+
+
+def _none(changes: Changes) -> bool:
+    return not isinstance(changes, DataFrame) and not changes
+
+
+def _looked_up(contracts: DataFrame, index: DataFrame) -> DataFrame:
+    """Contracts with the index columns of their package and price, null without any."""
+    own = contracts.withColumn("_own", F.col("price").cast(PRICE))
+    found = index.withColumnRenamed("package_group", "_package")
+    joined = own.join(found, (F.col("package_group") == F.col("_package")) & (F.col("_own") == F.col("_at")), "left")
+    return joined.drop("_package", "_at", "_own")
+
+
+def _count_until(sorted_dates: Column, value: Column, inclusive: bool) -> Column:
+    """How many of the sorted dates are at most (or below) the value, by binary search."""
+    size = F.size(sorted_dates)
+
+    def narrowed(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc.low + acc.high) / 2).cast("int")
+        there = F.get(sorted_dates, middle)
+        below = there <= value if inclusive else there < value
+        halved = F.when(below, F.struct((middle + 1).alias("low"), acc.high.alias("high"))).otherwise(
+            F.struct(acc.low.alias("low"), middle.alias("high"))
+        )
+        return F.when(acc.low < acc.high, halved).otherwise(acc)
+
+    steps = F.sequence(F.lit(0), F.floor(F.log2(size)).cast("int"))
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), size.alias("high")), narrowed, lambda acc: acc.low)
+    return F.when((size > 0) & value.isNotNull(), found).otherwise(0)
+
+
+def _at_new_price(contracts: DataFrame, changes: Changes) -> DataFrame:
+    if _none(changes):
+        return contracts.withColumn("price", F.col("price").cast(PRICE))
+    held = _looked_up(contracts, _steps(contracts.sparkSession, changes))
+    place = _count_until(F.col("_starts"), F.col("start_date"), True)
+    found = F.get(F.col("_prices"), place - 1)
+    return held.withColumn("price", F.coalesce(F.when(place > 0, found), F.col("price").cast(PRICE))).drop("_starts", "_prices")
+
+
+def _with_cuts(contracts: DataFrame, changes: Changes, split_open: str, chain: bool) -> DataFrame:
+    """Contracts plus ``_cuts``, the changes that cut them, by date and one a day."""
+    if _none(changes):
+        return contracts.withColumn("_cuts", F.array().cast(f"array<{_CUT}>"))
+    if chain:
+        held = _with_terms(contracts, changes).withColumn("_hits", _chained(split_open))
+        cuts = F.transform(_one_per_day(F.col("_hits")), lambda t: F.struct(t.eff.alias("eff"), t.new.alias("new")))
+        return held.withColumn("_cuts", cuts).drop("_hits", "_terms")
+    held = _looked_up(contracts, _cut_lists(contracts.sparkSession, changes)).withColumn("_days", F.col("_changes.eff"))
+    first = _count_until(F.col("_days"), F.col("start_date"), True)
+    past = _count_until(F.col("_days"), F.col("end_date"), False)
+    if split_open == "open":
+        past = F.when(F.col("end_date").isNull(), F.size("_days")).otherwise(past)
+    cuts = F.slice("_changes", first + 1, F.greatest(past - first, F.lit(0)))
+    inside = F.when(F.col("start_date").isNotNull() & (F.size("_days") > 0), cuts)
+    return held.withColumn("_cuts", F.coalesce(inside, F.array().cast(f"array<{_CUT}>"))).drop("_days", "_changes")
+
+
 def _per_package(spark: SparkSession, changes: Changes) -> DataFrame:
     """``(package_group, _terms)``: the changes of a package in list order."""
     if isinstance(changes, DataFrame):
-        term = F.struct(
-            F.col("seq").cast("int").alias("seq"),
-            F.col("effective_date").cast("date").alias("eff"),
-            F.col("old_price").cast(PRICE).alias("old"),
-            F.col("new_price").cast(PRICE).alias("new"),
-        )
-        named = changes.filter(F.col("package").isNotNull()).groupBy(F.trim("package").alias("package_group"))
-        return named.agg(F.array_sort(F.collect_list(term)).alias("_terms"))
+        term = F.struct("seq", "eff", "old", "new")
+        return _named(changes).groupBy("package_group").agg(F.array_sort(F.collect_list(term)).alias("_terms"))
     packages: dict[str, list[tuple]] = {}
     for seq, c in enumerate(changes, 1):
         packages.setdefault(c.package, []).append((seq, c.effective_date, c.old_price, c.new_price))
@@ -98,22 +227,12 @@ def _by_date() -> Column:
     return F.transform(F.array_sort(dated), lambda t: F.struct(t.seq.alias("seq"), t.eff.alias("eff"), t.old.alias("old"), t.new.alias("new")))
 
 
-def _repriced() -> Column:
-    return F.aggregate(
-        F.col("_terms"),
-        F.col("price").cast(PRICE),
-        lambda now, t: F.when(
-            (F.col("start_date") >= t.eff) & (now == t.old), t.new
-        ).otherwise(now),
-    )
-
-
 def apply_price_changes(contracts: DataFrame, changes: Changes) -> DataFrame:
     """Reprice contracts that start on or after a change's date at its old price.
 
     Changes apply one after the other in list order, so a later one sees the earlier one's price.
     """
-    return _with_terms(contracts, changes).withColumn("price", _repriced()).drop("_terms")
+    return _at_new_price(contracts, changes).select(*contracts.columns)
 
 
 def _inside(eff: Column, split_open: str) -> Column:
@@ -124,30 +243,28 @@ def _inside(eff: Column, split_open: str) -> Column:
     return F.coalesce((start < eff) & before_end, F.lit(False))
 
 
+def _chained(split_open: str) -> Column:
+    """The changes that cut a contract in date order, each seeing the price of the one before."""
+    start = F.struct(
+        F.col("price").cast(PRICE).alias("now"),
+        F.array().cast(f"array<{_TERM}>").alias("hits"),
+    )
+    return F.aggregate(
+        _by_date(),
+        start,
+        lambda acc, t: F.when(
+            (t.old == acc.now) & _inside(t.eff, split_open),
+            F.struct(t.new.alias("now"), F.concat(acc.hits, F.array(t)).alias("hits")),
+        ).otherwise(acc),
+        lambda acc: acc.hits,
+    )
+
+
 def _cuts(split_open: str, chain: bool) -> Column:
-    """The changes that cut a contract, in date order; the last of several on one day counts."""
-    terms = _by_date()
-    if not chain:
-        hits = F.filter(
-            terms, lambda t: (t.old == F.col("price")) & _inside(t.eff, split_open)
-        )
-    else:
-        start = F.struct(
-            F.col("price").cast(PRICE).alias("now"),
-            F.array().cast(f"array<{_TERM}>").alias("hits"),
-        )
-        hits = F.aggregate(
-            terms,
-            start,
-            lambda acc, t: F.when(
-                (t.old == acc.now) & _inside(t.eff, split_open),
-                F.struct(
-                    t.new.alias("now"), F.concat(acc.hits, F.array(t)).alias("hits")
-                ),
-            ).otherwise(acc),
-            lambda acc: acc.hits,
-        )
-    return hits
+    """All changes that cut a contract, in date order, several a day too."""
+    if chain:
+        return _chained(split_open)
+    return F.filter(_by_date(), lambda t: (t.old == F.col("price")) & _inside(t.eff, split_open))
 
 
 def _one_per_day(hits: Column) -> Column:
@@ -170,13 +287,10 @@ def split_contracts(
     Without ``chain`` only changes of the contract's original price count. All other columns, time
     keys included, are copied to every period unless ``rekey``.
     """
-    return _split(_with_terms(contracts, changes), contracts.columns, split_open, chain, rekey)
+    return _split(_with_cuts(contracts, changes, split_open, chain), contracts.columns, rekey)
 
 
-def _split(held: DataFrame, columns: Sequence[str], split_open: str, chain: bool, rekey: bool) -> DataFrame:
-    cut = held.withColumn("_hits", _cuts(split_open, chain)).withColumn(
-        "_cuts", _one_per_day(F.col("_hits"))
-    )
+def _split(cut: DataFrame, columns: Sequence[str], rekey: bool) -> DataFrame:
     cuts = F.col("_cuts")
     starts = F.concat(F.array("start_date"), F.transform(cuts, lambda t: t.eff))
     ends = F.concat(
@@ -215,8 +329,8 @@ def reprice(
     rekey: bool = False,
 ) -> DataFrame:
     """New contracts first, then the running ones."""
-    held = _with_terms(contracts, changes).withColumn("price", _repriced())
-    return _split(held, contracts.columns, split_open, chain, rekey)
+    held = _with_cuts(_at_new_price(contracts, changes), changes, split_open, chain)
+    return _split(held, contracts.columns, rekey)
 
 
 _COUNTERS = ("package_matches", "date_matches", "price_matches", "contracts_repriced", "contracts_cut")
@@ -297,9 +411,8 @@ def split_summary(
     chain: bool = False,
 ) -> DataFrame:
     """One row: contracts cut, periods made of them, and rows after splitting."""
-    repriced = _with_terms(contracts, changes).withColumn("price", _repriced())
-    periods = F.size(_one_per_day(_cuts(split_open, chain))) + 1
-    return repriced.select(periods.alias("_n")).agg(
+    held = _with_cuts(_at_new_price(contracts, changes), changes, split_open, chain)
+    return held.select((F.size("_cuts") + 1).alias("_n")).agg(
         F.count_if(F.col("_n") > 1).alias("contracts_cut"),
         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("periods_created"),
         F.coalesce(F.sum("_n"), F.lit(0)).alias("contracts_after"),

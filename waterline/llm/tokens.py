@@ -48,7 +48,7 @@ class _Recent(dict):
 class PackedTokenizer:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit numbers, without special tokens."""
 
-    def __init__(self, path: str, entries: int = 150_000):
+    def __init__(self, path: str, entries: int = 100_000):
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)

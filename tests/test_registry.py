@@ -5,7 +5,7 @@ import __spark_entry__ as driver
 from verification.check import differences, duck, duck_rows, spark_rows
 
 CHECKED = [
-    "medians", "cleaned_contracts", "prepared_from_raw", "csv_round_trip", "wide_sites", "dedupe_category", "deduped_contracts", "exclusivity_check",
+    "medians", "cleaned_contracts", "prepared_from_raw", "csv_round_trip", "csv_quoted_breaks", "wide_sites", "dedupe_category", "deduped_contracts", "exclusivity_check",
     "split_contracts", "split_contracts_long_list", "two_runs", "price_change_impact", "mrr_start_new_early", "combined_metrics_repriced",
     "cumulative_arpu_summary", "quality_ratios", "gram_stats", "trend_quality",
     "rejects_sink", "finite_values", "open_ends", "undated_churn",

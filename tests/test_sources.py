@@ -12,8 +12,8 @@ from waterline.schema import MONTHLY_TITLES
 from waterline.sources import contracts as source
 from waterline.sources import monthly, sinks, staging
 from waterline.sources.layout import Layout
-from waterline.sources.runs import Run, read_current, remove_replaced
 from waterline.sources.price_changes import read_price_changes
+from waterline.sources.runs import Run, read_current, remove_replaced
 from waterline.sources.sites import read_sites_csv, read_sites_parquet
 
 HEADER = (
@@ -206,3 +206,45 @@ def test_staging_uses_the_shared_folder(spark, tmp_path, monkeypatch):
     assert back.count() == 3 and back.schema == df.schema
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: f"{tmp_path}/")
     assert staging.shared_folder(spark) == str(tmp_path)
+
+
+def quoted_file(path, records, header=("a", "b", "c")):
+    """A CSV as other programs write it: quotes only where they are needed."""
+    import csv
+
+    with open(path, "w", newline="", encoding="ISO-8859-1") as out:
+        writer = csv.writer(out, lineterminator="\r\n")
+        writer.writerow(header)
+        writer.writerows(records)
+
+
+@pytest.mark.parametrize("bytes_per_split", [70, 1000, 10**8])
+def test_records_with_quotes_and_breaks_in_any_split(spark, tmp_path, bytes_per_split):
+    import random
+
+    draw = random.Random(3)
+    pieces = ["x", "é", '"', ",", "\n", "\r\n", " ", "long " * 30, "\n\n", '""']
+    records = [(str(i), "".join(draw.choice(pieces) for _ in range(draw.randrange(0, 6))) or "-", f"end{i}") for i in range(300)]
+    records += [("300", "\n" * 400, "e"), ("301", "y\n" * 200, "e")]
+    for n, part in enumerate((records[:150], records[150:])):
+        quoted_file(tmp_path / f"{n}.csv", part)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_per_split)
+    try:
+        got = [tuple(r) for r in source.read_text_csv(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got) == sorted(records)
+
+
+def test_unreadable_records(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('a,b,c\n1,"two\nlines",3\n4,5,6,7\n8,9\n10,"never closed,11\n12,13,14\n')
+    rows = [tuple(r) for r in source.read_text_csv(spark, str(path)).collect()]
+    assert sorted(rows) == [("1", "two\nlines", "3"), ("8", "9", None)]
+    lost = [r.record for r in source.unreadable_records(spark, str(path)).collect()]
+    assert sorted(lost) == ['10,"never closed,11', "12,13,14", "4,5,6,7"]
+    out, count = sinks.write_unreadable(source.unreadable_records(spark, str(path)), Layout(str(tmp_path / "out")))
+    assert out.endswith("Unreadable_Records") and count == 3
+    path.write_text("a,b\n1,2\n")
+    assert source.unreadable_records(spark, str(path)).count() == 0

@@ -23,6 +23,7 @@ from waterline.operators.dedupe import exclusivity_conflicts
 from waterline.plans import monthly
 from waterline.schema import CONTRACT_TITLES
 from waterline.sources import sinks
+from waterline.sources.contracts import read_text_csv
 from waterline.sources.layout import Layout
 from waterline.sources.monthly import read_monthly, read_monthly_csv
 from waterline.sources.runs import Run, read_current
@@ -46,6 +47,31 @@ def _file_of(rows: DataFrame, name: str) -> str:
     return path
 
 
+# Notes with quotes, separators and both kinds of line breaks; Spark and DuckDB read the same text.
+NOTE = """case cast(o_orderkey % 5 as int)
+    when 0 then concat('say "', o_orderpriority, '", and go')
+    when 1 then concat('first', chr(10), o_orderpriority, chr(10), chr(10), 'last')
+    when 2 then concat('"', chr(13), chr(10), '"', chr(10), ',')
+    when 3 then concat(chr(10), '""')
+    else 'plain' end"""
+SPLIT_BYTES = 32_768
+
+
+def _csv_quoted_breaks(spark, sf):
+    """One file read in several splits, records over two of them included."""
+    path = scratch(spark, "notes")
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.expr(NOTE).alias("note"), F.lit("end").alias("last"))
+    sinks.write_csv(rows.coalesce(1), path)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, SPLIT_BYTES)
+    try:
+        # lines are read and numbered here
+        return read_text_csv(spark, path)
+    finally:
+        spark.conf.set(name, before)
+
+
 def _sites_file(spark, sf):
     path = scratch(spark, "sites")
     wide_sites(spark, sf).write.option("header", True).csv(path)
@@ -181,6 +207,7 @@ QUERIES = {
     "waterfall_sink": _waterfall_sink,
     "monthly_csv": _monthly_csv,
     "sites_csv": _sites_csv,
+    "csv_quoted_breaks": _csv_quoted_breaks,
     "cleaned_sink": _cleaned_sink,
     "filtered_sink": _filtered_sink,
     "tier_csv_sink": _currency_file,
@@ -215,6 +242,7 @@ def oracle_sql() -> dict[str, str]:
         "waterfall_sink": f"SELECT * FROM ({core['mrr_waterfall_by_tier']}) WHERE tier IN ({picked})",
         "monthly_csv": f"SELECT * FROM ({core['combined_metrics']}) WHERE tier IN ({picked})",
         "sites_csv": core["wide_sites"],
+        "csv_quoted_breaks": f"SELECT CAST(o_orderkey AS VARCHAR) AS id, {NOTE} AS note, 'end' AS last FROM orders",
         "cleaned_sink": core["cleaned_contracts"],
         "filtered_sink": core["tier_rows"],
         "tier_csv_sink": f"""WITH {oracle.prep()},{oracle.BRIDGE}

@@ -19,7 +19,7 @@ from waterline.operators.waterfall import align, arr, waterfall
 from waterline.plans.prep import prepare_contracts
 from waterline.schema import MONTHLY_TITLES
 from waterline.sources import sinks
-from waterline.sources.contracts import read_contracts_csv, validate
+from waterline.sources.contracts import read_contracts_csv, unreadable_records, validate
 from waterline.sources.layout import Layout
 from waterline.sources.runs import Run
 from waterline.sources.sites import read_sites_csv
@@ -137,6 +137,7 @@ def run_from_files(
     """Everything from raw files to written results, with the monthly tables as CSV per tier too."""
     # profile, medians and cleaning each read the rows; text is parsed only once
     raw = materialise(validate(read_contracts_csv(spark, contracts_csv)), "raw")
+    sinks.write_unreadable(unreadable_records(spark, contracts_csv), layout)
     cleaned = handle_missing_data(raw, fill_ids)
     path = sinks.write_cleaned(cleaned, layout)
     cleaned = spark.read.schema(cleaned.schema).parquet(path)

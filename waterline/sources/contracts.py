@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waterline.schema import CONTRACT_TITLES, CONTRACT_TYPES, DATE_COLUMNS
+from waterline.sources.records import CORRUPT, has_breaks, read_records
 
 # Texts read as a missing value.
 MISSING_TEXTS: tuple[str, ...] = (
@@ -23,14 +24,27 @@ def canonical_name(title: str) -> str:
     return CONTRACT_TITLES.get(title, plain)
 
 
-def read_text_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """A CSV with header, every column as text: no inference pass, and splittable."""
-    return (
+def read_text_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", unreadable: bool = False) -> DataFrame:
+    """A CSV with header, every column as text: no inference pass, and splittable.
+
+    Records may hold line breaks within quotes. With ``unreadable`` a last column has the text of
+    records that cannot be read; else they are left out.
+    """
+    plain = (
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("escape", '"')
         .csv(path)
     )
+    if not has_breaks(spark, path, encoding):
+        return plain.withColumn(CORRUPT, F.lit(None).cast("string")) if unreadable else plain
+    records = read_records(spark, path, plain.columns, encoding)
+    return records if unreadable else records.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def unreadable_records(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
+    """``(record)``: texts of the records that ``read_text_csv`` leaves out."""
+    return read_text_csv(spark, path, encoding, unreadable=True).select(F.col(CORRUPT).alias("record")).filter("record is not null")
 
 
 def read_contracts_csv(

@@ -30,8 +30,10 @@ def titled(df: DataFrame, titles: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(titles.get(c, c)) for c in df.columns])
 
 
-def _csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """With header; quotes are doubled and texts keep the blanks and breaks at their ends."""
+    options = {"header": True, "encoding": "ISO-8859-1", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_cleaned(contracts: DataFrame, layout: Layout, tier: str = FULL) -> str:
@@ -95,7 +97,7 @@ def export_csv(
         path = f"{layout.tier(tier, stage)}/{scenario_prefix(repriced)}{name}"
         rows = monthly.filter(F.col("tier") == tier).select(*columns).orderBy("month")
         # a row per month: one file
-        _csv(titled(rows.coalesce(1), MONTHLY_FILE_TITLES), path)
+        write_csv(titled(rows.coalesce(1), MONTHLY_FILE_TITLES), path)
         paths.append(path)
     return paths
 
@@ -110,14 +112,14 @@ def export_contracts_csv(
     """One tier's contract rows as CSV with the original titles."""
     name = f"{scenario_prefix(repriced, contracts=True)}filtered_data"
     path = f"{layout.tier(tier, 'filtered_data')}/{name}"
-    _csv(titled(filter_on_tier(contracts, tier, tiers), CONTRACT_FILE_TITLES), path)
+    write_csv(titled(filter_on_tier(contracts, tier, tiers), CONTRACT_FILE_TITLES), path)
     return path
 
 
 def _if_any(rows: DataFrame, path: str) -> tuple[str | None, int]:
     """Contract rows as CSV, counted while they are written; nothing stays if there are none."""
     seen = Observation()
-    _csv(titled(rows.observe(seen, F.count(F.lit(1)).alias("rows")), CONTRACT_FILE_TITLES), path)
+    write_csv(titled(rows.observe(seen, F.count(F.lit(1)).alias("rows")), CONTRACT_FILE_TITLES), path)
     count = seen.get["rows"]
     if not count:
         files, target = file_system(rows.sparkSession, path)
@@ -130,6 +132,11 @@ def write_rejects(rejects: DataFrame, layout: Layout) -> tuple[str | None, int]:
     return _if_any(rejects, f"{layout.root}/Rejected_Rows")
 
 
+def write_unreadable(records: DataFrame, layout: Layout) -> tuple[str | None, int]:
+    """Records of an input file that could not be read, and how many; no file if there are none."""
+    return _if_any(records, f"{layout.root}/Unreadable_Records")
+
+
 def write_exclusivity_errors(conflicts: DataFrame, layout: Layout) -> tuple[str | None, int]:
     """Conflicting rows, and how many; no file if there are none."""
     return _if_any(conflicts, f"{layout.root}/Mutual_Exclusivity_Errors")

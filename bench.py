@@ -17,7 +17,6 @@ HEADLINES = (
     "deduped_contracts",
     "split_contracts",
     "mrr_start_new",
-    "mrr_start_new_explode",
     "mrr_waterfall_by_tier",
     "combined_metrics",
     "combined_metrics_repriced",

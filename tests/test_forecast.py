@@ -131,16 +131,6 @@ def test_minimiser_edge_cases():
     assert minimise(np.array([[2.0]]), np.array([-3.0]), 1.0).tolist() == [-1.0]
 
 
-def test_long_series_by_spark_ml(monthly):
-    frame = ENDING_MRR.frame(monthly.filter("tier = 'Full'"))
-    rows = fit.design(frame, ENDING_MRR)
-    own = fit.whole(fit.fit(rows, ENDING_MRR)).first()
-    intercept, weights = fit.fit_large_series(frame, ENDING_MRR.features, ENDING_MRR.target, 15.0)
-    x, _, _ = matrices(rows)["Full"]
-    a = own.intercept + x @ np.array(own.weights)
-    assert np.allclose(intercept + x @ np.array(weights), a, rtol=1e-3)
-
-
 def test_features(spark, monthly):
     months = NET_NEW_MRR.frame(monthly)
     rows = {r.month: r for r in months.filter("tier = 'high_performers'").collect()}

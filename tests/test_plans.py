@@ -4,7 +4,8 @@ import pytest
 from conftest import SMALL
 
 from verification.fixtures import CHANGES, CONFIG, contracts, sites
-from waterline.operators import dedupe, pricing, unit_revenue, waterfall
+from waterline.operators import dedupe, movements, pricing, unit_revenue, waterfall
+from waterline.operators.recent import last_rows
 from waterline.plans.monthly import combined_metrics
 from waterline.plans.prep import prepare_contracts, tag_contracts
 from waterline.sources.staging import materialise
@@ -73,3 +74,16 @@ def test_account_status_is_computed_once(spark):
     frame = flagged(spark, SMALL)
     frame.collect()
     assert "ReusedExchange" in plan(frame)
+
+
+def test_price_moves_meet_tiers_after_the_first_sums(prepared):
+    text = plan(movements.price_moves(prepared, CONFIG))
+    below = text[text.rindex("HashAggregate") :]
+    assert "Generate" in text and "Generate" not in below
+    # copies leave, accounts are brought together, months are summed
+    assert text.count("Exchange hashpartitioning") <= 4
+
+
+def test_last_rows_leave_before_the_shuffle(prepared):
+    text = plan(last_rows(prepared.select("cxn_code", "start_date", "price"), ["cxn_code"], ["start_date"], 3))
+    assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")

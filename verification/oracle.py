@@ -446,6 +446,8 @@ def oracle_sql() -> dict[str, str]:
               count(DISTINCT account_number) AS accounts FROM tiered GROUP BY ALL""",
         "reprice_new": f"WITH {splits()} SELECT {_TAGGED} FROM repriced",
         "split_contracts": f"WITH {splits()} SELECT {_TAGGED} FROM split",
+        "tail": f"""WITH {combined()} SELECT tier, month, ending_mrr, starting_count FROM combined
+            QUALIFY row_number() OVER (PARTITION BY tier ORDER BY month DESC) <= 5""",
         "split_contracts_long_list": f"WITH RECURSIVE {long_splits()} SELECT {_TAGGED} FROM split",
         "split_contracts_by_table": f"WITH {splits()} SELECT {_TAGGED} FROM split",
         "price_change_impact": _impact(),

@@ -35,6 +35,7 @@ from waterline.operators import (
     waterfall,
 )
 from waterline.operators import sites as site_ops
+from waterline.operators.recent import last_rows
 from waterline.plans import monthly, prep
 from waterline.schema import WATERFALL_COLUMNS
 from waterline.sources import sinks
@@ -233,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "reprice_new": lambda s, d: pricing.apply_price_changes(deduped(s, d), CHANGES),
     "split_contracts": lambda s, d: pricing.reprice(deduped(s, d), CHANGES),
     "price_change_impact": lambda s, d: pricing.price_change_impact(deduped(s, d), CHANGES),
+    "tail": lambda s, d: last_rows(combined(s, d).select("tier", "month", "ending_mrr", "starting_count"), ["tier"], ["month"], 5),
     "split_contracts_long_list": lambda s, d: pricing.reprice(deduped(s, d), long_changes(s, d)),
     "split_contracts_by_table": lambda s, d: pricing.reprice(deduped(s, d), pricing.price_change_table(s, CHANGES)),
     "price_change_impact_of_table": lambda s, d: pricing.price_change_impact(

@@ -6,7 +6,6 @@ cross-validation fold; only the small matrices reach Python, one series at a tim
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -208,32 +207,3 @@ def coefficients(fits: DataFrame, model: Model, above: float = REPORTED) -> Data
         .filter(F.abs("coefficient") > above)
         .select("tier", F.get(names, F.col("pos")).alias("term"), "coefficient")
     )
-
-
-def fit_large_series(
-    frame: DataFrame, features: Sequence[str], target: str, alpha: float, degree: int = 1
-) -> tuple[float, list[float]]:
-    """One long series through Spark ML: same objective, iterative, agreeing to about 1e-3.
-
-    For series far longer than a calendar; many short ones belong to :func:`fit`.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    stages = [VectorAssembler(inputCols=list(features), outputCol="x1")]
-    if degree > 1:
-        stages.append(PolynomialExpansion(degree=degree, inputCol="x1", outputCol="xn"))
-    stages.append(
-        LinearRegression(
-            featuresCol="xn" if degree > 1 else "x1",
-            labelCol=target,
-            regParam=alpha,
-            elasticNetParam=1.0,
-            standardization=False,
-            maxIter=1000,
-            tol=1e-12,
-        )
-    )
-    model = Pipeline(stages=stages).fit(frame).stages[-1]
-    return float(model.intercept), [float(w) for w in model.coefficients]

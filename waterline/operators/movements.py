@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from waterline.config import CHANGE_OF_SERVICE, DOWNGRADE, UPGRADE, RunConfig
 from waterline.functions.calendar import month_key
 from waterline.functions.money import cents, dollars
-from waterline.operators.tiers import add_tiers
+from waterline.operators.tiers import add_tiers, tiers_of
 
 
 # column -> reason, and whether prices move up
@@ -35,24 +35,19 @@ def price_moves(
         delta = F.when(rises, price - before).otherwise(before - price)
         return F.greatest(F.coalesce(delta, F.lit(0)), F.lit(0))
 
-    changes = add_tiers(
-        contracts.filter(
-            (F.col("wo_type_group") == CHANGE_OF_SERVICE)
-            & (F.col("test_flag") == 0)
-            & reason.isin(*[MOVES[n][0] for n in names])
-        ),
-        cfg.tiers,
-    ).select(
-        "tier",
-        "account_number",
-        "reason_group",
-        "start_date",
-        "end_date",
-        cents(F.col("price")).alias("cents"),
-        "month_key",
+    rows = contracts.filter(
+        (F.col("wo_type_group") == CHANGE_OF_SERVICE)
+        & (F.col("test_flag") == 0)
+        & reason.isin(*[MOVES[n][0] for n in names])
     )
-    # Copies of a change do not move the price; they leave before the shuffle.
-    distinct = changes.distinct()
+    # Copies of a change do not move the price. They leave before the shuffle, and tiers come after it:
+    # a change is in the tiers of all segments it has copies in.
+    kinds = ["account_number", "reason_group", "start_date", "end_date", "cents", "month_key"]
+    changes = rows.withColumn("cents", cents(F.col("price"))).groupBy(*kinds).agg(F.collect_set("cxn_code").alias("codes"))
+    within = F.flatten(F.transform("codes", lambda code: tiers_of(code, cfg.tiers)))
+    # rows without a segment are in the full set only
+    within = F.array_union(tiers_of(F.lit(None).cast("int"), cfg.tiers), within)
+    distinct = changes.withColumn("tier", F.explode(F.array_distinct(within))).drop("codes")
     account = ["tier", "account_number", "reason_group"]
     day = Window.partitionBy(*account, "start_date").orderBy(
         F.col("end_date").asc_nulls_first(), "cents", "month_key"

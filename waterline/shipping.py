@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
@@ -21,12 +22,15 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="waterline-"), "waterline.zip")
+    folder = tempfile.TemporaryDirectory(prefix="waterline-")
+    # executors fetch it from the driver as long as the session lives
+    atexit.register(folder.cleanup)
+    archive = os.path.join(folder.name, "waterline.zip")
     with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, names in os.walk(package):
+        for inner, _, names in os.walk(package):
             for name in sorted(names):
                 if name.endswith(".py"):
-                    path = os.path.join(folder, name)
+                    path = os.path.join(inner, name)
                     out.write(path, os.path.join("waterline", os.path.relpath(path, package)))
     context.addPyFile(archive)
     _shipped.add(context.applicationId)

@@ -13,9 +13,15 @@ WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; unset, a folder in the session's warehouse.
 
-    Driver and executors share both by definition, so no machine-local folder is ever used.
+    A warehouse in a local folder is shared in local mode only; elsewhere it is refused.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get(WAREHOUSE_DIR)}/_checkpoints"
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if not folder:
+        warehouse = spark.conf.get(WAREHOUSE_DIR)
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        if not local and warehouse.split(":", 1)[0] in ("file", warehouse):
+            raise ValueError(f"set {CHECKPOINT_DIR}: executors may not share the warehouse in {warehouse}")
+        folder = f"{warehouse}/_checkpoints"
     return folder.rstrip("/")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waterline.forecast import features, fit, projection
 from waterline.forecast.models import ENDING_MRR, LARGE_SEGMENT, NET_NEW_MRR, OLS, TREND, model_for
 from waterline.forecast.solver import minimise
-from waterline.plans.forecasting import auto_forecast, forecast
+from waterline.plans.forecasting import auto_forecast, forecast, forecast_each
 from waterline.schema import MONTHLY_SCHEMA
 from waterline.sources import sinks
 from waterline.sources.layout import Layout
@@ -222,10 +222,56 @@ def test_dispatch(monthly):
     with pytest.raises(ValueError):
         model_for("Full", 3)
     both = auto_forecast(monthly, choice=2)
-    assert {r.tier for r in both["net_new_mrr"].projections.collect()} == {"Full"}
-    assert {r.tier for r in both["ending_mrr"].projections.collect()} == set(TIERS[1:])
-    assert both["net_new_mrr"].projections.first().projected_arr is None
-    assert list(auto_forecast(monthly)) == ["ending_mrr"]
+    rows = both.projections.collect()
+    assert {(r.tier, r.model) for r in rows} == {("Full", "net_new_mrr")} | {(t, "ending_mrr") for t in TIERS[1:]}
+    assert all((r.projected_arr is None) == (r.model == "net_new_mrr") for r in rows)
+    assert {r.model for r in auto_forecast(monthly).projections.collect()} == {"ending_mrr"}
+
+
+def test_models_as_a_table(spark, monthly):
+    pairs = [("Full", "net_new_mrr"), ("Full", "large_segment"), ("high_performers", "ending_mrr"), ("high_performers", "ending_mrr")]
+    out = forecast_each(monthly, spark.createDataFrame(pairs, "tier string, model string"), months=3)
+    fits = {(r.tier, r.model, r.fold): r for r in out.fits.collect()}
+    assert len(fits) == 3 * 6
+    for tier, model in dict.fromkeys(pairs):
+        # the same numbers as from a job for this model alone
+        alone = forecast(monthly, next(m for m in (NET_NEW_MRR, LARGE_SEGMENT, ENDING_MRR) if m.name == model), 3)
+        for r in alone.fits.filter(F.col("tier") == tier).collect():
+            got = fits[tier, model, r.fold]
+            assert got.n_train == r.n_train and len(got.weights) == len(r.weights) and got.converged == r.converged
+            if model != "large_segment":
+                assert np.allclose(got.weights, r.weights, rtol=1e-5)
+        one = (F.col("tier") == tier) & (F.col("model") == model)
+        expected = [r.projected_value for r in alone.projections.filter(F.col("tier") == tier).orderBy("date").collect()]
+        assert [r.projected_value for r in out.projections.filter(one).orderBy("date").collect()] == pytest.approx(expected, rel=1e-5)
+        assert out.performance.filter(one).first().r2 == pytest.approx(alone.performance.filter(F.col("tier") == tier).first().r2)
+    assert {r.term for r in out.coefficients.filter("model = 'ending_mrr'").collect()} <= set(ENDING_MRR.features)
+    assert out.trend.count() == 3 * (N - 1 + 3) and out.growth.count() == 3
+    with pytest.raises(Exception, match="not a model: typo"):
+        forecast_each(monthly, spark.createDataFrame([("Full", "typo")], "tier string, model string"))
+    # the sums of products of all models are one aggregation
+    plan = fit.moments(out.history.select("tier", "model", "fold", "terms", "centre", "target", "target_centre"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+
+
+def test_scenarios_as_a_table(spark, monthly):
+    rows = [("flat", "arpu", 1.0), ("fewer", "churn", 0.5), ("fewer", "expansion", None)]
+    schema = "scenario string, feature string, end_multiplier double"
+    out = forecast(monthly, ENDING_MRR, 3, scenario=spark.createDataFrame(rows, schema))
+    assert out.fits.count() == len(TIERS) * 6
+    for name, scenario in {"flat": {"arpu": 1.0}, "fewer": {"churn": 0.5}}.items():
+        alone = forecast(monthly, ENDING_MRR, 3, scenario=scenario).projections
+        expected = {(r.tier, r.month): r.trend for r in alone.collect()}
+        got = {(r.tier, r.month): r.trend for r in out.projections.filter(F.col("scenario") == name).collect()}
+        assert got == {k: pytest.approx(v) for k, v in expected.items()}
+    assert out.growth.count() == 2 * len(TIERS)
+    # the past belongs to no scenario
+    assert out.combined.filter("scenario IS NULL").count() == out.history.count()
+    none = forecast(monthly, ENDING_MRR, 3, scenario=spark.createDataFrame([], schema)).projections
+    assert none.count() == 0
+    for bad in ([("x", "typo", 2.0)], [("x", None, 2.0)], [("x", "arpu", 2.0), ("x", "arpu", 3.0)]):
+        with pytest.raises(Exception, match="not a feature|DUPLICATED_MAP_KEY"):
+            forecast(monthly, ENDING_MRR, 3, scenario=spark.createDataFrame(bad, schema)).projections.collect()
 
 
 def test_coefficient_names(monthly):

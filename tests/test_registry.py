@@ -8,6 +8,7 @@ CHECKED = [
     "medians", "cleaned_contracts", "prepared_from_raw", "csv_round_trip", "csv_quoted_breaks", "wide_sites", "dedupe_category", "deduped_contracts", "exclusivity_check",
     "split_contracts", "split_contracts_long_list", "two_runs", "price_change_impact", "mrr_start_new_early", "combined_metrics_repriced",
     "cumulative_arpu_summary", "quality_ratios", "gram_stats", "trend_quality",
+    "fit_gaps", "lasso_net_new", "coefficient_report", "net_new_projection", "model_dispatch", "scenario_table",
     "rejects_sink", "finite_values", "open_ends", "undated_churn",
 ]
 

@@ -10,7 +10,7 @@ COMPLETE = """
 complete AS (SELECT * FROM combined QUALIFY month < max(month) OVER (PARTITION BY tier))"""
 
 
-def _tiers(column: str) -> str:
+def tiers_of(column: str) -> str:
     """Needs ``complete``."""
     sums = ", ".join(
         f"coalesce(sum({column}) FILTER (tier = '{t}'), 0.0) AS {t}_{column}"
@@ -77,11 +77,6 @@ def oracle_sql() -> dict[str, str]:
     )
     high, under = f"{HIGH}_net_new_mrr", f"{UNDER}_net_new_mrr"
     return {
-        # six fits of each of three models per tier: all months, and all but a fold; all are to converge
-        "fit_gaps": f"""{base}
-            SELECT model, tier, fold, true AS converged FROM (SELECT DISTINCT tier FROM complete),
-              (SELECT unnest(['ending_mrr', 'net_new_mrr', 'large_segment']) AS model),
-              (SELECT CAST(unnest(range(-1, 5)) AS INTEGER) AS fold)""",
         "calendar_features": f"""{base}
             SELECT tier, month, month_number,
               CAST(quarter(CAST(concat(month, '-01') AS DATE)) AS BIGINT) AS quarter,
@@ -91,14 +86,14 @@ def oracle_sql() -> dict[str, str]:
               CAST(month_sequential AS DOUBLE) AS month_sequential,
               CAST(month_sequential * month_sequential AS DOUBLE) AS month_sequential_squared
             FROM complete""",
-        "tier_features": f"{base},{_tiers('new_mrr')} SELECT tier, month, {HIGH}_new_mrr,"
+        "tier_features": f"{base},{tiers_of('new_mrr')} SELECT tier, month, {HIGH}_new_mrr,"
         f" {MODERATE}_new_mrr, {UNDER}_new_mrr FROM featured",
-        "quality_ratios": f"""{base},{_tiers('net_new_mrr')}
+        "quality_ratios": f"""{base},{tiers_of('net_new_mrr')}
             SELECT tier, month, t AS total_segment_mrr, q / t AS quality_ratio,
               {under} / t AS under_ratio, q / t * t AS quality_weighted
             FROM (SELECT *, {HIGH}_net_new_mrr + {MODERATE}_net_new_mrr AS q,
                     CASE WHEN {total} = 0 THEN 1.0 ELSE {total} END AS t FROM featured)""",
-        "high_to_under": f"""{base},{_tiers('net_new_mrr')}
+        "high_to_under": f"""{base},{tiers_of('net_new_mrr')}
             SELECT tier, month, round({high} / (abs({under}) + 100), 9) AS linear,
               round(CASE WHEN {high} > -1 THEN ln(1 + {high}) / ln(1 + abs({under}) + 100)
                 ELSE 0.0 END, 9) AS log

@@ -19,7 +19,7 @@ from waterline.forecast.models import (
     TREND,
     Model,
 )
-from waterline.plans.forecasting import Forecast, auto_forecast, forecast
+from waterline.plans.forecasting import Forecast, auto_forecast, forecast, forecast_each
 from waterline.plans.monthly import combined_metrics
 from waterline.sources.monthly import complete_months
 from waterline.sources.staging import materialise
@@ -34,6 +34,10 @@ COUNTS = Model(
 TREND_LASSO = replace(TREND, name="trend_lasso", alpha=15.0)
 # What a feature is multiplied by until the projection ends.
 SCENARIO = {"arpu": 1.25, "churn": 0.8}
+# Several, from one fit; what a scenario does not name grows as the model says.
+SCENARIOS = {"steady": {"arpu": 1.0}, "growth": SCENARIO, "decline": {"ending_count": 0.7, "expansion": 0.5}}
+# What ``Forecast.history`` has of the fits.
+MODEL_COLUMNS = ("n_train", "intercept", "weights", "gap", "converged", "prediction")
 # One series per segment instead of per tier.
 SEGMENT_CONFIG = replace(CONFIG, tiers={f"segment_{s:02d}": (s,) for s in SEGMENTS})
 
@@ -54,7 +58,8 @@ def significant(df: DataFrame, count: int = 6) -> DataFrame:
     """The same for numbers of any size: so many significant digits."""
     doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
     # adding zero makes a negative zero a plain one
-    return df.withColumns({c: F.format_string(f"%.{count - 1}e", F.col(c) + 0.0).cast("double") for c in doubles})
+    shown = {c: F.format_string(f"%.{count - 1}e", F.col(c) + 0.0) for c in doubles}
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), text).cast("double") for c, text in shown.items()})
 
 
 def run(spark: SparkSession, sf: str, model: Model, months: int = 12) -> Forecast:
@@ -136,12 +141,14 @@ def _fits(model: Model):
 
 
 def _dispatch(spark, sf):
-    by_model = auto_forecast(monthly_table(spark, sf), choice=2)
-    parts = [
-        f.projections.select(F.lit(name).alias("model"), "tier", "month", "projected_value")
-        for name, f in by_model.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    out = auto_forecast(monthly_table(spark, sf), choice=2).projections
+    return significant(out.select("model", "tier", "month", "projected_value"))
+
+
+def _scenarios(spark, sf):
+    rows = [(name, *pair) for name, scenario in SCENARIOS.items() for pair in scenario.items()]
+    table = spark.createDataFrame(rows, "scenario string, feature string, end_multiplier double")
+    return significant(forecast(monthly_table(spark, sf), ENDING_MRR, 12, scenario=table).projections)
 
 
 def _segments(spark, sf):
@@ -149,14 +156,27 @@ def _segments(spark, sf):
     return significant(forecast(table, ENDING_MRR, 12).growth)
 
 
+def objective(rows: DataFrame, fits: DataFrame, *models: Model) -> DataFrame:
+    """The penalised objective of every fit on its own training months, as a share of their target's variance."""
+    series = fit.keys(fits)
+    error = F.col("target") - fit.predict(F.col("terms"))
+    size = F.aggregate("weights", F.lit(0.0), lambda total, w: total + F.abs(w))
+    alpha = F.create_map(*[F.lit(v) for m in models for v in (m.name, float(m.alpha))])[F.col("model")]
+    per_fit = rows.withColumnRenamed("fold", "own").join(fits, series).filter(F.col("own") != F.col("fold"))
+    loss = per_fit.groupBy(*series, "fold").agg(
+        (F.avg(error * error) / 2).alias("loss"), F.first(size).alias("size"), F.var_pop("target").alias("variance")
+    )
+    return loss.select(*series, "fold", ((F.col("loss") + alpha * F.col("size")) / F.col("variance")).alias("share"))
+
+
 def _gaps(spark, sf):
-    """Whether each penalised fit, of the models and of every fold, reached its optimum."""
+    """The objective each penalised fit reached, of the models and of every fold; SQL has the lowest there is."""
     table = monthly_table(spark, sf)
-    parts = [
-        forecast(table, model, 12).fits.select(F.lit(model.name).alias("model"), "tier", "fold", "converged")
-        for model in (ENDING_MRR, NET_NEW_MRR, LARGE_SEGMENT)
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    models = (ENDING_MRR, NET_NEW_MRR, LARGE_SEGMENT)
+    names = F.explode(F.array(*[F.lit(m.name) for m in models])).alias("model")
+    out = forecast_each(table, table.select("tier", names).distinct(), models)
+    reached = objective(out.history.drop(*MODEL_COLUMNS), out.fits, *models)
+    return rounded(reached.join(out.fits.select("tier", "model", "fold", "converged"), ["tier", "model", "fold"]), 7)
 
 
 def _scenario(spark, sf):
@@ -186,10 +206,11 @@ QUERIES = {
     "lasso_poly2": _fits(LARGE_SEGMENT),
     "ols_baseline": _fits(OLS),
     "fit_metrics": lambda s, d: significant(run(s, d, ENDING_MRR).performance),
-    "coefficient_report": lambda s, d: run(s, d, NET_NEW_MRR).coefficients,
+    "coefficient_report": lambda s, d: significant(run(s, d, NET_NEW_MRR).coefficients, 5),
     "projection": lambda s, d: significant(run(s, d, ENDING_MRR).projections),
     "scenario_projection": _scenario,
-    "net_new_projection": lambda s, d: run(s, d, NET_NEW_MRR).projections,
+    "scenario_table": _scenarios,
+    "net_new_projection": lambda s, d: significant(run(s, d, NET_NEW_MRR).projections),
     "large_segment_projection": lambda s, d: run(s, d, LARGE_SEGMENT).projections,
     "ols_projection": lambda s, d: significant(run(s, d, OLS).projections),
     "growth_summary": lambda s, d: significant(run(s, d, ENDING_MRR).growth),

@@ -21,7 +21,14 @@ FOLDS = 5
 ALL = -1  # the fold id of the fit on all rows
 REPORTED = 0.01  # coefficients up to this size are left out of the report
 
-_MODEL_SCHEMA = "tier string, fold int, n_train bigint, intercept double, weights array<double>, gap double, converged boolean"
+# What tells series apart: a tier, fitted by one of several models, projected under one of several scenarios.
+KEYS = ("tier", "model", "scenario")
+_MODEL_SCHEMA = "fold int, n_train bigint, intercept double, weights array<double>, gap double, converged boolean"
+
+
+def keys(df: DataFrame) -> list[str]:
+    """The columns of ``KEYS`` that ``df`` has."""
+    return [k for k in KEYS if k in df.columns]
 
 
 def term_names(model: Model) -> list[str]:
@@ -82,7 +89,11 @@ def design(frame: DataFrame, model: Model) -> DataFrame:
 
 
 def moments(rows: DataFrame) -> DataFrame:
-    """``(tier, fold, pos, value)``: sums of products of ``(1, x..., y)``, upper triangle by rows."""
+    """``(tier, fold, pos, value)``: sums of products of ``(1, x..., y)``, upper triangle by rows.
+
+    Series may have different numbers of terms.
+    """
+    series = keys(rows)
     centred = F.zip_with("terms", "centre", lambda x, c: x - c)
     z = F.concat(
         F.array(F.lit(1.0)), centred, F.array(F.col("target") - F.col("target_centre"))
@@ -96,28 +107,29 @@ def moments(rows: DataFrame) -> DataFrame:
         )
     )
     return (
-        rows.select("tier", "fold", z.alias("z"))
-        .select("tier", "fold", F.posexplode(products).alias("pos", "value"))
-        .groupBy("tier", "fold", "pos")
+        rows.select(*series, "fold", z.alias("z"))
+        .select(*series, "fold", F.posexplode(products).alias("pos", "value"))
+        .groupBy(*series, "fold", "pos")
         .agg(F.sum("value").alias("value"))
     )
 
 
-def _solve(width: int, alpha: float):
-    side = width + 2
-    upper = np.triu_indices(side)
+def _solve(series: list[str], alphas: dict[str, float]):
+    """``alphas`` by model; series without the column ``model`` all have the only one."""
 
-    def matrix(values) -> np.ndarray:
+    def matrix(values, side: int) -> np.ndarray:
         m = np.zeros((side, side))
-        m[upper] = values
+        m[np.triu_indices(side)] = values
         return m + np.triu(m, 1).T
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
+        centre = np.asarray(group["centre"].iloc[0], dtype=float)
         per_fold = {
-            int(fold): matrix(rows.sort_values("pos")["value"].to_numpy())
+            int(fold): matrix(rows.sort_values("pos")["value"].to_numpy(), len(centre) + 2)
             for fold, rows in group.groupby("fold")
         }
-        centre = np.asarray(group["centre"].iloc[0], dtype=float)
+        own = [group[k].iloc[0] for k in series]
+        alpha = alphas[group["model"].iloc[0]] if "model" in series else next(iter(alphas.values()))
         target_centre = float(group["target_centre"].iloc[0])
         total = sum(per_fold.values())
         training = {ALL: total}
@@ -127,26 +139,27 @@ def _solve(width: int, alpha: float):
         for fold, m in training.items():
             intercept, weights, gap = fit_from_moments(m, alpha)
             shifted = intercept + target_centre - float(weights @ centre)
-            out.append((group["tier"].iloc[0], fold, round(m[0, 0]), shifted, weights.tolist(), gap, gap <= GAP))
-        return pd.DataFrame(out, columns=["tier", "fold", "n_train", "intercept", "weights", "gap", "converged"])
+            out.append((*own, fold, round(m[0, 0]), shifted, weights.tolist(), gap, gap <= GAP))
+        return pd.DataFrame(out, columns=[*series, "fold", "n_train", "intercept", "weights", "gap", "converged"])
 
     return solve
 
 
-def fit(rows: DataFrame, model: Model) -> DataFrame:
+def fit(rows: DataFrame, *models: Model) -> DataFrame:
     """``(tier, fold, n_train, intercept, weights, gap, converged)``: fold -1 is the model, 0..4 leave one out.
 
     ``gap`` bounds how far the objective is from its optimum, as a share of the target's variance.
-    Cross-validation fits need no second pass: their sums are the total less the fold's own.
+    Cross-validation fits need no second pass: their sums are the total less the fold's own. With
+    several ``models`` the column ``model`` of ``rows`` names each series' own, and the fits carry it.
     """
-    centres = rows.groupBy("tier").agg(
+    series = keys(rows)
+    centres = rows.groupBy(*series).agg(
         F.first("centre").alias("centre"), F.first("target_centre").alias("target_centre")
     )
     # width * width / 2 numbers per fold: a group's size is set by the model, not by the data
-    grouped = moments(rows).join(centres, "tier").groupBy("tier")
-    return grouped.applyInPandas(
-        _solve(len(term_names(model)), model.alpha), schema=_MODEL_SCHEMA
-    )
+    grouped = moments(rows).join(centres, series).groupBy(*series)
+    schema = ", ".join([*(f"{k} string" for k in series), _MODEL_SCHEMA])
+    return grouped.applyInPandas(_solve(series, {m.name: m.alpha for m in models}), schema=schema)
 
 
 def predict(values: Column) -> Column:
@@ -160,16 +173,17 @@ def whole(fits: DataFrame) -> DataFrame:
 
 
 def fitted(rows: DataFrame, fits: DataFrame) -> DataFrame:
-    return rows.join(whole(fits), "tier").withColumn("prediction", predict(F.col("terms")))
+    return rows.join(whole(fits), keys(fits)).withColumn("prediction", predict(F.col("terms")))
 
 
 def quality(rows: DataFrame, fits: DataFrame) -> DataFrame:
     """``(tier, n_months, r2, mae, rmse, cv_mae)``."""
+    series = keys(rows)
     error = F.col("target") - F.col("prediction")
     spread = F.col("target") - F.col("target_centre")
     inside = (
         fitted(rows, fits)
-        .groupBy("tier")
+        .groupBy(*series)
         .agg(
             F.count("*").alias("n_months"),
             F.sum(error * error).alias("sse"),
@@ -178,16 +192,16 @@ def quality(rows: DataFrame, fits: DataFrame) -> DataFrame:
         )
     )
     held_out = (
-        rows.join(fits, ["tier", "fold"])
+        rows.join(fits, [*series, "fold"])
         .withColumn("prediction", predict(F.col("terms")))
-        .groupBy("tier", "fold")
+        .groupBy(*series, "fold")
         .agg(F.avg(F.abs(error)).alias("fold_mae"))
-        .groupBy("tier")
+        .groupBy(*series)
         .agg(F.avg("fold_mae").alias("cv_mae"))
     )
     constant = F.when(F.col("sse") == 0, 1.0).otherwise(0.0)
-    return inside.join(held_out, "tier", "left").select(
-        "tier",
+    return inside.join(held_out, series, "left").select(
+        *series,
         "n_months",
         F.when(F.col("sst") == 0, constant)
         .otherwise(1 - F.try_divide("sse", "sst"))
@@ -198,12 +212,17 @@ def quality(rows: DataFrame, fits: DataFrame) -> DataFrame:
     )
 
 
-def coefficients(fits: DataFrame, model: Model, above: float = REPORTED) -> DataFrame:
-    """``(tier, term, coefficient)`` of the terms that matter."""
-    names = F.array(*[F.lit(n) for n in term_names(model)])
+def coefficients(fits: DataFrame, *models: Model, above: float = REPORTED) -> DataFrame:
+    """``(tier, term, coefficient)`` of the terms that matter; with ``model`` where ``fits`` has it."""
+    series = keys(fits)
+    names = {m.name: F.array(*[F.lit(n) for n in term_names(m)]) for m in models}
+    if "model" in series:
+        own = F.get(F.create_map(*[c for n, a in names.items() for c in (F.lit(n), a)])[F.col("model")], F.col("pos"))
+    else:
+        own = F.get(next(iter(names.values())), F.col("pos"))
     return (
         whole(fits)
-        .select("tier", F.posexplode("weights").alias("pos", "coefficient"))
+        .select(*series, F.posexplode("weights").alias("pos", "coefficient"))
         .filter(F.abs("coefficient") > above)
-        .select("tier", F.get(names, F.col("pos")).alias("term"), "coefficient")
+        .select(*series, own.alias("term"), "coefficient")
     )

@@ -15,7 +15,6 @@ from waterline.forecast.features import (
     add_quality_ratios,
     add_tier_features,
     add_trend_features,
-    fill_median,
     clean,
     fill_median,
 )

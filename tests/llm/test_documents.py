@@ -40,6 +40,31 @@ def test_sharding(odd, empty, spark):
     assert sharding.shard_documents(empty, TREE, GROWN).count() == 0
 
 
+@pytest.mark.parametrize("shards", [1, 5, 7, 8, 9, 10, 12])
+def test_a_new_shard_takes_rows_only_into_itself(spark, shards):
+    rows = spark.range(20_000)
+    for name, n in (("a", shards), ("b", shards + 1)):
+        rows = sharding.with_shard(rows, rows["id"], sharding.even_tree(range(n)), name)
+    moves = {(r.a, r.b): r["count"] for r in rows.groupBy("a", "b").count().collect()}
+    assert {b for a, b in moves if a != b} == {shards}
+    # equal shards before and after
+    for place, n in ((0, shards), (1, shards + 1)):
+        sizes = Counter()
+        for pair, count in moves.items():
+            sizes[pair[place]] += count
+        assert len(sizes) == n and all(abs(size - 20_000 / n) < 6 * (20_000 / n) ** 0.5 for size in sizes.values())
+
+
+def test_sharding_weights_and_empty_nodes(spark):
+    leaves = [sharding.Leaf(0, "r", "a", 2.0), sharding.Leaf(1, "r", "b", 1.0), sharding.Leaf(2, "s", "a", 1.0), sharding.Leaf(3, "t", "a", 0.0)]
+    rows = spark.range(20_000)
+    # a fixed weight of a node without shards that count draws nothing; that of s is twice its shard's
+    rows = sharding.with_shard(rows, rows["id"], sharding.Tree(tuple(leaves), {"t": 9.0, "s": 2.0}), "a")
+    sizes = {r.a: r["count"] for r in rows.groupBy("a").count().collect()}
+    assert set(sizes) == {0, 1, 2}
+    assert all(abs(sizes[k] / 20_000 - share) < 0.02 for k, share in {0: 0.4, 1: 0.2, 2: 0.4}.items())
+
+
 def test_changes_stay_below_the_changed_node(spark):
     leaves = TREE.leaves
     heavy = tuple(sharding.Leaf(x.shard, x.region, x.rack, 3.0 if x.shard == 2 else 1.0) for x in leaves)

@@ -1,9 +1,11 @@
 """Sharding by a hierarchical weighted hash tree of regions, racks and shards.
 
 A row descends the tree: at each level every child draws a weighted hash of the row's key, and the
-smallest draw wins. Draws depend on the key, the child's path and the child's weight only, so a
-change of weights moves rows only among the children of the nodes whose weights change: into or out
-of the changed child, never between two others.
+smallest draw wins. A shard draws by its own path and weight, a rack or region of a fixed weight by
+its own too, and any other node by the smallest draw of its children, which is a draw by the sum of
+their weights. So the draws of all nodes but the changed shard and those above it stay what they
+were: a change of a shard's weight, or a new shard, moves rows into or out of that shard only, and
+below a node of fixed weight only within that node.
 """
 
 from __future__ import annotations
@@ -34,33 +36,37 @@ class Tree:
     """Shards with their weights. A rack or region weighs what its shards weigh unless ``fixed``.
 
     ``fixed`` maps ``region`` or ``region/rack`` to a weight; with it, a change below that node
-    stays below it.
+    stays below it. Nodes without a shard of positive weight take no part.
     """
 
     leaves: tuple[Leaf, ...]
     fixed: dict[str, float] = field(default_factory=dict)
 
-    def children(self) -> list[dict[str, list[tuple[str, float]]]]:
-        """For each level, the parent's path with its children's paths and positive weights."""
-        levels: list[dict[str, dict[str, float]]] = [{}, {}, {}]
+    def children(self) -> list[dict[str, dict[str, list[tuple[str, float]]]]]:
+        """For each level, the parent's path with its children's paths, and what draws for each child.
+
+        That is the nodes ``(path, weight)`` nearest to the child, it included, that have a weight of
+        their own: the child if it is a shard or fixed, else those of its children.
+        """
+        levels: list[dict[str, dict[str, list[tuple[str, float]]]]] = [{}, {}, {}]
         for leaf in self.leaves:
             paths = [leaf.region, f"{leaf.region}/{leaf.rack}", f"{leaf.region}/{leaf.rack}/{leaf.shard}"]
-            for level, (parent, child) in enumerate(zip(["", *paths], paths, strict=False)):
-                below = levels[level].setdefault(parent, {})
-                below[child] = below.get(child, 0.0) + leaf.weight
-        return [
-            {
-                parent: [(c, w) for c, w in ((c, self.fixed.get(c, w)) for c, w in below.items()) if w > 0]
-                for parent, below in level.items()
-            }
-            for level in levels
-        ]
+            if leaf.weight <= 0 or any(self.fixed.get(p, 1.0) <= 0 for p in paths):
+                continue
+            drawing = (paths[2], leaf.weight)
+            for level, parent, child in reversed(list(zip(levels, ["", *paths], paths, strict=False))):
+                if child in self.fixed:
+                    drawing = (child, self.fixed[child])
+                drawn = level.setdefault(parent, {}).setdefault(child, [])
+                if drawing not in drawn:
+                    drawn.append(drawing)
+        return levels
 
 
 def even_tree(shards: Iterable[int], racks: int = 2, per_rack: int = 2) -> Tree:
     """Equal shards in order: ``per_rack`` to a rack and ``racks`` to a region.
 
-    The tree of a few more shards has the same nodes and some new ones.
+    The tree of a few more shards has the same nodes and some new ones, and takes rows only into those.
     """
     leaves = []
     for shard in shards:
@@ -69,20 +75,24 @@ def even_tree(shards: Iterable[int], racks: int = 2, per_rack: int = 2) -> Tree:
     return Tree(tuple(leaves))
 
 
-def _draw(key: Column, parent: Column, level: dict[str, list[tuple[str, float]]]) -> Column:
+def _draw(key: Column, parent: Column, level: dict[str, dict[str, list[tuple[str, float]]]]) -> Column:
     """The child of ``parent`` with the smallest weighted draw."""
     options = []
     for path, children in level.items():
-        listed = [F.struct(F.lit(c).alias("path"), F.lit(float(w)).alias("weight")) for c, w in children]
+        listed = [
+            F.struct(F.lit(child).alias("child"), F.lit(p).alias("path"), F.lit(float(w)).alias("weight"))
+            for child, drawing in children.items()
+            for p, w in drawing
+        ]
         options += [F.lit(path), F.array(*listed)]
 
-    def cost(child: Column) -> Column:
+    def cost(node: Column) -> Column:
         # uniform in (0, 1) from the upper 53 bits; -ln(u) / w is an exponential draw of rate w
-        uniform = (F.shiftrightunsigned(F.xxhash64(key, child["path"]), 11) + F.lit(0.5)) / F.lit(2.0**53)
-        return F.struct((-F.log(uniform) / child["weight"]).alias("cost"), child["path"].alias("path"))
+        uniform = (F.shiftrightunsigned(F.xxhash64(key, node["path"]), 11) + F.lit(0.5)) / F.lit(2.0**53)
+        return F.struct((-F.log(uniform) / node["weight"]).alias("cost"), node["path"].alias("path"), node["child"].alias("child"))
 
     drawn = F.transform(F.element_at(F.create_map(*options), parent), cost)
-    return F.array_min(drawn)["path"]
+    return F.array_min(drawn)["child"]
 
 
 def with_shard(df: DataFrame, key: Column, tree: Tree, name: str) -> DataFrame:

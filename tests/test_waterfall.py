@@ -225,3 +225,23 @@ def test_waterfall_identities_and_arr(contracts, cfg):
 def test_no_movements_at_all(contracts, cfg):
     out = as_dicts(waterfall.waterfall(keyed(contracts(contract(end="2024-03-10"))), cfg))
     assert {r["expansion"] for r in out} == {0.0} and {r["churn_count"] for r in out} == {0}
+
+
+def test_exploded_months_are_summed_before_the_shuffle(contracts, cfg):
+    df = contracts(contract(), contract("A2", start="2023-05-06", end="2024-02-03"))
+    text = waterfall.start_new_mrr(df, cfg, "explode")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and not any("account_number" in line and "month_idx" in line for line in dealt)
+
+
+def test_exploded_accounts_count_once_per_tier(contracts, cfg):
+    rows = [
+        contract("A1", code=None, start="2024-01-15", end="2024-04-02"),
+        contract("A1", code=5, start="2024-01-01", end="2024-03-02"),
+        contract(None, code=5, start="2024-02-01", end="2024-02-02"),
+        contract("A2", code=99, start="2024-03-31", end="2024-03-31"),
+    ]
+    forms = [waterfall.start_new_mrr(contracts(*rows), cfg, form) for form in FORMS]
+    assert sorted(forms[0].collect()) == sorted(forms[1].collect())
+    assert full(forms[1], "starting_count") == {"2024-01": 1, "2024-02": 2, "2024-03": 1, "2024-04": 1}
+    assert full(forms[1], "new_count") == {"2024-01": 1, "2024-02": 1, "2024-03": 1, "2024-04": 0}

@@ -245,3 +245,16 @@ def test_exploded_accounts_count_once_per_tier(contracts, cfg):
     assert sorted(forms[0].collect()) == sorted(forms[1].collect())
     assert full(forms[1], "starting_count") == {"2024-01": 1, "2024-02": 2, "2024-03": 1, "2024-04": 1}
     assert full(forms[1], "new_count") == {"2024-01": 1, "2024-02": 1, "2024-03": 1, "2024-04": 0}
+
+
+def test_active_accounts_read_the_contracts_once(contracts, cfg):
+    rows = [
+        contract("A1", start="2024-01-15", end="2024-02-02"),
+        contract("A1", start="2024-01-01", end="2024-05-02"),
+        contract("A1", start="2024-01-20", end="2024-03-02"),
+        contract("A2", start="2024-03-05"),
+    ]
+    out = waterfall.active_accounts(contracts(*rows), cfg)
+    assert full(out, "active_accounts") == {"2024-01": 1, "2024-02": 1, "2024-03": 2, "2024-04": 2, "2024-05": 2}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + out._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 1
+    assert waterfall.active_accounts(contracts(contract()), cfg).count() == 0

@@ -215,3 +215,25 @@ def test_steps_are_as_short_as_they_can_be():
     assert pricing.compile_steps(terms) == {Decimal(1): ([dt.date(2024, 1, 1)], [Decimal(2)])}
     there_and_back = [(dt.date(2024, 1, 1), Decimal(1), Decimal(2)), (dt.date(2024, 1, 1), Decimal(2), Decimal(1))]
     assert Decimal(1) not in pricing.compile_steps(there_and_back)
+
+
+def test_a_long_table_is_compiled_in_chunks(spark, monkeypatch):
+    """No task holds a package's changes; chunks and blocks of days give the steps of the whole list."""
+    monkeypatch.setattr(pricing, "CHUNK_CHANGES", 7)
+    rng = random.Random(3)
+    days = [dt.date(2023, 1, 1) + dt.timedelta(days=rng.randrange(900)) for _ in range(40)]
+    prices = [Decimal(n) / 100 for n in range(1000, 1012)] + [None]
+    rows = [
+        (rng.choice([i, i // 2]), rng.choice(["P", " Q "]), rng.choice([*days, None]), rng.choice(prices), rng.choice(prices))
+        for i in range(300)
+    ]
+    table = spark.createDataFrame(rows, "seq int, package string, effective_date date, old_price decimal(18,2), new_price decimal(18,2)")
+    got = {(r[0], r[1]): (r[2], r[3]) for r in pricing._steps(spark, table).collect()}
+    expected = {}
+    for package in "PQ":
+        own = [(seq, eff, old, new is None, new or 0, new) for seq, name, eff, old, new in rows if name.strip() == package and eff and old]
+        steps = pricing.compile_steps([(eff, old, new) for _, eff, old, _, _, new in sorted(own)])
+        expected |= {(package, price): found for price, found in steps.items()}
+    assert got == expected
+    plan = pricing._table_steps(table)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "MapInPandas" in plan

@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from dataclasses import replace
 
 import pytest
 from conftest import as_dicts, contract
@@ -196,3 +198,41 @@ def test_preparation_does_not_depend_on_partitions(contracts, cfg):
     one = summary(prepare_contracts(df.coalesce(1), cfg))
     assert one == summary(prepare_contracts(df.repartition(9), cfg))
     assert tag_contracts(df, cfg).filter("revenue_category = 'Other'").isEmpty()
+
+
+@pytest.mark.parametrize("open_wins", [False, True])
+def test_preparation_agrees_with_its_steps_one_by_one(spark, contracts, cfg, open_wins):
+    """Rows that leave first still count for their account's status, and never one that would have stayed."""
+    rng = random.Random(7)
+    ends = [None, "2999-12-31", "2023-06-30", "2024-02-29", "2024-05-31", "2025-01-01"]
+    accounts = [None, "hot", "hot", *[f"A{n}" for n in range(30)], *[f"L{n}" for n in range(30)]]
+    rows = [
+        contract(
+            account=(account := rng.choice(accounts)),
+            package=rng.choice("PQR"),
+            start=f"2023-{rng.choice(('01', '02'))}-0{rng.randrange(1, 5)}",
+            end=rng.choice(ends),
+            price=rng.choice(["1.00", "2.00"]),
+            wo=rng.choice(["Disconnect", None] if (account or "").startswith("L") else ["Activate", "Change of Service", "Disconnect"]),
+            reason=rng.choice(["Upgrade", "Downgrade", "Other", None]),
+            code=rng.choice([None, 5, 6]),
+            site=rng.choice([None, "1", "2"]),
+        )
+        for _ in range(1500)
+    ]
+    config = replace(cfg, open_wins=open_wins)
+    frame = contracts(*rows, *rows[:200])
+    got = prepare_contracts(frame, config)
+    expected = dedupe.dedupe(tag_contracts(frame, config), open_wins)
+    assert got.schema.names == expected.schema.names
+    assert [f.dataType for f in got.schema] == [f.dataType for f in expected.schema]
+    order = lambda r: str(r)
+    assert sorted(map(tuple, got.collect()), key=order) == sorted(map(tuple, expected.collect()), key=order)
+    assert got.filter("churn_flag = 1").count() and got.filter("churn_flag = 0").count()
+
+
+def test_conflicts_are_the_same_staged(contracts):
+    rows = contracts(contract(reason="a"), contract(reason="b"), contract(account="A2")).withColumn("revenue_category", F.col("reason_group"))
+    want = sorted(map(str, dedupe.exclusivity_conflicts(rows).collect()))
+    assert len(want) == 2
+    assert sorted(map(str, dedupe.exclusivity_conflicts(rows, staged=True).collect())) == want

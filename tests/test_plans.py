@@ -87,3 +87,30 @@ def test_price_moves_meet_tiers_after_the_first_sums(prepared):
 def test_last_rows_leave_before_the_shuffle(prepared):
     text = plan(last_rows(prepared.select("cxn_code", "start_date", "price"), ["cxn_code"], ["start_date"], 3))
     assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")
+
+
+def test_preparation_reads_lines_once_and_meets_by_account_once(spark):
+    text = plan(prepare_contracts(contracts(spark, SMALL), CONFIG))
+    assert len([s for s in scans(text) if "l_orderkey" in s]) == 1
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "account_number" in line]
+    # accounts, and below them the best of each kind
+    assert len(shuffles) == 2
+    assert "package_group" not in shuffles[0] and "package_group" in shuffles[1]
+
+
+def test_accounts_meet_before_tiers_multiply_them(prepared):
+    frames = (
+        waterfall.start_new_mrr(prepared, CONFIG),
+        waterfall.active_accounts(prepared, CONFIG),
+        unit_revenue.arpu(prepared, CONFIG),
+        movements.churn_revenue(prepared, CONFIG),
+    )
+    for frame in frames:
+        shuffles = [line for line in plan(frame).splitlines() if "Exchange hashpartitioning" in line]
+        assert any("account_number" in line for line in shuffles)
+        assert not any("tier" in line and "account_number" in line for line in shuffles)
+
+
+def test_staged_conflicts_do_not_shuffle_the_rows(prepared):
+    text = plan(dedupe.exclusivity_conflicts(prepared, staged=True))
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text

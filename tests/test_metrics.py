@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 from collections import defaultdict
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -35,6 +36,15 @@ def test_arpu(contracts, cfg):
     }
 
 
+def test_arpu_of_accounts_in_several_segments(contracts, cfg):
+    cfg = replace(cfg, tiers={"one": (1,), "both": (1, 2), "none": (9,)})
+    rows = [contract("A", code=1), contract("A", code=2), contract("B", code=2), contract(None, code=1), contract("C", code=None)]
+    got = as_dicts(unit_revenue.arpu(filters.add_time_keys(contracts(*rows)), cfg))
+    assert {r["tier"]: (r["total_period_activation"], r["unique_accounts"]) for r in got} == {
+        "Full": (50.0, 3), "one": (20.0, 1), "both": (40.0, 2),
+    }
+
+
 def test_cumulative_arpu(contracts, cfg):
     rng = random.Random(2)
     rows = [

@@ -5,6 +5,7 @@ from conftest import SMALL
 
 from verification.fixtures import CHANGES, CONFIG, contracts, sites
 from waterline.operators import dedupe, movements, pricing, unit_revenue, waterfall
+from waterline.operators import sites as site_ops
 from waterline.operators.recent import last_rows
 from waterline.plans.monthly import combined_metrics
 from waterline.plans.prep import prepare_contracts, tag_contracts
@@ -114,3 +115,19 @@ def test_accounts_meet_before_tiers_multiply_them(prepared):
 def test_staged_conflicts_do_not_shuffle_the_rows(prepared):
     text = plan(dedupe.exclusivity_conflicts(prepared, staged=True))
     assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
+def test_preparation_sorts_an_account_once(spark):
+    text = plan(prepare_contracts(contracts(spark, SMALL), CONFIG))
+    above = text[: text.index("Exchange hashpartitioning(account_number")]
+    # one order serves churn and both rules for duplicates; texts of time follow from the start
+    assert above.count("Sort [") == 1
+    assert "quarter_key" not in above[above.index("Sort [") :]
+
+
+def test_tiers_multiply_counts_not_accounts(prepared):
+    for frame, key in ((unit_revenue.arpu(prepared, CONFIG), "account_number"), (site_ops.seen_sites(prepared, CONFIG), "_groupingexpression")):
+        text = plan(frame)
+        [shuffle] = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and key in line]
+        assert "Generate" not in text[text.index(shuffle) :]
+        assert "cxn_code" not in shuffle and "SortAggregate" not in text

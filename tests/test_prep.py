@@ -236,3 +236,17 @@ def test_conflicts_are_the_same_staged(contracts):
     want = sorted(map(str, dedupe.exclusivity_conflicts(rows).collect()))
     assert len(want) == 2
     assert sorted(map(str, dedupe.exclusivity_conflicts(rows, staged=True).collect())) == want
+
+
+def test_tiers_as_bits(spark):
+    # more tiers than a whole number has bits; one without segments, one that names a segment twice
+    many = {f"t{n}": (n % 7, n % 7, n) for n in range(130)} | {"none": ()}
+    rows = spark.createDataFrame([(g, c) for g in range(9) for c in (g, g * 17, None)] + [(99, None)], "g int, cxn_code int")
+    bits = tiers.tier_bits(F.col("cxn_code"), many)
+    assert len(bits) == 3
+    names = [f"b{n}" for n in range(len(bits))]
+    united = rows.groupBy("g").agg(F.count("*").alias("n"), *[F.bit_or(b).alias(n) for b, n in zip(bits, names, strict=True)])
+    got = {r.g: set(r.t) for r in united.select("g", tiers.tiers_of_bits([F.col(n) for n in names], many).alias("t")).collect()}
+    assert got == {
+        g: {"Full"} | {t for t, codes in many.items() if {*codes} & {g, g * 17}} if g < 9 else {"Full"} for g in got
+    } and len(got) == 10

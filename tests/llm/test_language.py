@@ -147,3 +147,53 @@ def test_spelled_words_do_not_see_each_other():
     want = [tuple(itertools.chain([256, 256], n, [256])) for n in names]
     assert starts.tolist() == [0, 1, 3, 7]
     assert codes.tolist() == [(w[i] * 257 + w[i + 1]) * 257 + w[i + 2] for w in want for i in range(len(w) - 2)]
+
+
+def test_contexts_are_whole_words(spark):
+    """Two words with the same last byte foretell different words."""
+    held, train = ([i for i in range(900) if held_out(i) == kind] for kind in (True, False))
+    rows = [(i, "xa p" if n % 2 else "ya q") for n, i in enumerate(train)]
+    asked = dict(zip(("xa p", "xa q", "ya q", "ya p"), held, strict=False))
+    docs = spark.createDataFrame(rows + [(i, t) for t, i in asked.items()], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in language.score_documents(docs).collect()}
+    for likely, other in (("xa p", "xa q"), ("ya q", "ya p")):
+        assert got[asked[likely]] > got[asked[other]] + 1.5
+        assert got[asked[likely]] == pytest.approx(math.log10(0.5), abs=0.1)
+
+
+def test_tables_given_the_gamma_variable():
+    """The exact distribution of the tables of one and of many customers, each table weighing the same."""
+    discount, weighs = 0.6, 1.7
+    stirling = language.log_stirling(discount)
+    for customers in (3, 30, 200):
+        weight = np.exp(stirling[customers, 1 : customers + 1] + np.arange(1, customers + 1) * math.log(weighs) - stirling[customers].max())
+        keys = np.random.default_rng(3).integers(0, 2**63, 40_000).astype(np.uint64)
+        got = language.draw_apart(np.full(40_000, customers), np.full(40_000, math.log(weighs)), discount, stirling, keys, 9)
+        share = np.bincount(got, minlength=customers + 1)[1:] / 40_000
+        assert np.abs(share - weight / weight.sum()).max() < 0.01
+
+
+def test_gamma_draws():
+    for shape in (0.3, 1.0, 40.0):
+        got = np.exp(language.log_gamma(np.full(100_000, shape), np.arange(100_000).astype(np.uint64), 3))
+        assert got.mean() == pytest.approx(shape, rel=0.03) and got.var() == pytest.approx(shape, rel=0.05)
+
+
+def test_parameters_are_drawn_around_those_that_made_the_seatings():
+    discount, strength, draw = 0.6, 5.0, np.random.default_rng(4)
+    tables, cells = [], np.zeros((language.EXACT + 1, language.EXACT + 1), dtype=np.int64)
+    for _ in range(150):
+        sizes = []
+        for n in range(200):
+            chances = np.array([*[s - discount for s in sizes], strength + discount * len(sizes)]) / (strength + n)
+            at = draw.choice(len(chances), p=chances)
+            sizes[at:] = [sizes[at] + 1, *sizes[at + 1 :]] if at < len(sizes) else [1]
+        tables.append(len(sizes))
+        for size in sizes:
+            cells[size, 1] += size > 1
+    held, got = np.unique(tables, return_counts=True), [(1.0, 0.5)]
+    for _ in range(200):
+        log_x = np.log(draw.beta(got[-1][0] + 1, 199, size=150)).sum()
+        got.append(language.draw_parameters(*got[-1], *held, log_x, cells, language.log_stirling(got[-1][1]), draw))
+    mean = np.mean(got[50:], axis=0)
+    assert mean[0] == pytest.approx(strength, rel=0.25) and mean[1] == pytest.approx(discount, abs=0.04)

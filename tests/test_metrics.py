@@ -114,6 +114,19 @@ def test_sites(contracts, cfg, site_table):
     }
 
 
+def test_bases_by_tier(contracts, cfg, spark):
+    cfg = replace(cfg, tiers={"one": (1,), "both": (1, 2), "beyond": (54,)})
+    df = contracts(contract(site="1", code=1), contract(site="1", code=54), contract(site="2", code=2))
+    rows = [("1", 1, 1.6), ("1", 1, 1.6), ("1", 2, 2.5), ("1", 54, 7.0), ("1", None, 9.0), ("1.0", 2, None), ("2", 2, 4.0)]
+    table = spark.createDataFrame([(s, dt.date(2024, 1, 5), *r) for s, *r in rows], SITE_DDL.replace("bigint", "double"))
+    assert {r.tier: (r.site_opens, r.base) for r in sites.site_metrics(df, table, cfg).collect()} == {
+        "Full": (2, 9), "one": (1, 3), "both": (2, 9), "beyond": (1, 0),
+    }
+    [row] = sites._released(table.filter("site <> '2'"), cfg).collect()
+    # a number per tier, whatever the segments
+    assert row.bases == [5, 3, 5, 0]
+
+
 def test_wide_sites(spark):
     wide = spark.createDataFrame(
         [("1.0", "2024-01-05", "7", None), (None, "2024-01-05", "1", "1"), ("2", "bad", "1", "1")],

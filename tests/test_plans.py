@@ -131,3 +131,9 @@ def test_tiers_multiply_counts_not_accounts(prepared):
         [shuffle] = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and key in line]
         assert "Generate" not in text[text.index(shuffle) :]
         assert "cxn_code" not in shuffle and "SortAggregate" not in text
+
+
+def test_sites_are_not_broadcast(spark, prepared):
+    # a site file looks small to the planner, its rows by segment need not be
+    text = plan(site_ops.site_metrics(prepared, sites(spark, SMALL), CONFIG))
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text

@@ -46,6 +46,15 @@ def test_price_changes_do_not_shuffle(prepared):
     assert "Exchange" not in text.replace("BroadcastExchange", "")
 
 
+def test_a_look_at_one_cut_does_not_copy_all(spark, prepared):
+    for changes in (CHANGES, pricing.price_change_table(spark, CHANGES)):
+        index = pricing._cut_lists(spark, changes)
+        assert dict(index.dtypes) == {"package_group": "string", "_at": "decimal(18,2)", "_days": "array<date>", "_becomes": "array<decimal(18,2)>"}
+        cut = pricing.reprice(prepared, changes)
+        # a field of an array of structs is taken anew by every step of the search
+        assert ".eff" not in plan(cut) and "transform(" not in plan(cut)
+
+
 def test_scans_read_what_is_used(spark, prepared):
     [scan] = {s.split("FileScan")[1].split("[")[1].split("]")[0] for s in scans(plan(waterfall.calendar_spine(prepared, CONFIG)))}
     assert {c.split("#")[0] for c in scan.split(",")} == {"start_date", "end_date", "cxn_code"}

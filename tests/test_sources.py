@@ -188,6 +188,22 @@ def test_run_from_files(spark, csv, cfg, tmp_path):
     assert titled.count() == 6
 
 
+def test_run_from_files_leaves_no_raw_rows(spark, csv, cfg, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from waterline.config import RunConfig
+    from waterline.sources import staging
+
+    sites = tmp_path / "sites.csv"
+    sites.write_text("Site,Date,5\n12,2024-01-05,7\n")
+    folder = tmp_path / "staged"
+    monkeypatch.setattr(staging, "staging_folder", lambda spark: str(folder))
+    run = run_from_files(spark, csv, str(sites), RunConfig(as_of=cfg.as_of), Layout(str(tmp_path / "out")), keys=[0])
+    names = {p.name.rsplit("-", 1)[0] for p in Path(folder).iterdir() if any(p.iterdir())}
+    assert "raw" not in names and {"waterfall", "combined"} <= names
+    assert run.combined.count()
+
+
 def test_complete_months_and_tier_series(spark):
     rows = [(t, f"2024-{m:02d}", float(m)) for t, n in (("Full", 5), ("high_performers", 4)) for m in range(1, n + 1)]
     df = spark.createDataFrame(rows, "tier string, month string, v double")
